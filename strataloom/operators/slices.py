@@ -38,9 +38,14 @@ class Sliced:
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   rows_per_slice: int = ROWS_PER_SLICE) -> Sliced:
-    """Number the slices of hot keys, from 0 up along ``order``; other keys get -1."""
-    n = df.count()
+                   rows_per_slice: int = ROWS_PER_SLICE, like: DataFrame | None = None) -> Sliced:
+    """Number the slices of hot keys, from 0 up along ``order``; other keys get -1.
+
+    Hot keys and cut points are looked for in ``like``, by default ``df`` itself;
+    a part of ``df`` that is cheaper to read will do if it holds most of the rows.
+    """
+    like = df if like is None else like
+    n = like.count()
     whole = Sliced(df.withColumn(SLICE, F.lit(-1)), False)
     if n <= rows_per_slice:
         return whole
@@ -50,7 +55,7 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     fraction = min(1.0, SAMPLE_PER_SLICE / per_slice)
     every = max(1, round(per_slice * fraction))
     sampled = (
-        df.select(*keys, sort_tuple(df, order).alias("_at"))
+        like.select(*keys, sort_tuple(like, order).alias("_at"))
         .sample(fraction=fraction, seed=17)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("_at")).alias("_at"))

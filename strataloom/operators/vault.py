@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strataloom.functions.ordering import sort_tuple
 from strataloom.functions.values import digest, hash_key
@@ -17,33 +17,36 @@ from strataloom.operators.slices import ROWS_PER_SLICE
 from strataloom.operators.windows import changes
 
 
-def _new_keys(existing: DataFrame | None, rows: DataFrame, hk: str, source: str, load_ts: str) -> DataFrame:
-    # Grouping on the hash leaves the rows partitioned as the anti join wants them.
-    rows = rows.dropDuplicates([hk])
-    if existing is not None:
-        rows = rows.join(existing.select(hk), hk, "left_anti")
-    return rows.select(
-        "*", F.lit(load_ts).cast("timestamp_ntz").alias("load_ts"), F.lit(source).alias("source")
-    )
+def _stamp(rows: DataFrame, source: str, load_ts: str) -> DataFrame:
+    return rows.withColumns({
+        "load_ts": F.lit(load_ts).cast("timestamp_ntz"), "source": F.lit(source),
+    })
+
+
+def _business_key(df: DataFrame, key: str) -> Column:
+    return F.trim(key).alias(key) if isinstance(df.schema[key].dataType, T.StringType) else F.col(key)
 
 
 def load_hub(existing: DataFrame | None, batch: DataFrame, key: str, hk: str, source: str,
              load_ts: str) -> DataFrame:
     """Business keys of ``batch`` that the hub does not hold yet."""
-    rows = batch.where(F.col(key).isNotNull()).select(hash_key(key).alias(hk), key)
-    return _new_keys(existing, rows, hk, source, load_ts)
+    # Compared by the business key, which is shorter than its hash; only new keys
+    # are hashed.
+    rows = batch.select(_business_key(batch, key)).where(F.col(key).isNotNull()).distinct()
+    if existing is not None:
+        rows = rows.join(existing.select(key), key, "left_anti")
+    return _stamp(rows.select(hash_key(key).alias(hk), key), source, load_ts)
 
 
 def load_link(existing: DataFrame | None, batch: DataFrame, keys: Sequence[tuple[str, str]], hk: str,
               source: str, load_ts: str) -> DataFrame:
     """Key combinations that the link does not hold yet; ``keys`` pairs column and hub key."""
-    for col, _ in keys:
-        batch = batch.where(F.col(col).isNotNull())
-    rows = batch.select(
-        hash_key(*[c for c, _ in keys]).alias(hk),
-        *[hash_key(c).alias(hub) for c, hub in keys],
-    )
-    return _new_keys(existing, rows, hk, source, load_ts)
+    cols = [c for c, _ in keys]
+    rows = batch.select(*[_business_key(batch, c) for c in cols]).dropna(subset=cols).distinct()
+    hashed = rows.select(hash_key(*cols).alias(hk), *[hash_key(c).alias(hub) for c, hub in keys])
+    if existing is not None:
+        hashed = hashed.join(existing.select(hk), hk, "left_anti")
+    return _stamp(hashed, source, load_ts)
 
 
 def load_satellite(existing: DataFrame | None, batch: DataFrame, key: str, hk: str,
@@ -78,7 +81,7 @@ def load_satellite(existing: DataFrame | None, batch: DataFrame, key: str, hk: s
     both = fresh.withColumn("_stored", F.lit(False)).unionByName(
         history.withColumn("_stored", F.lit(True))
     )
-    return changes(both, [hk], ["hashdiff"], order, rows_per_slice).where("not _stored").drop("_stored")
+    return changes(both, [hk], ["hashdiff"], order, rows_per_slice, like=rows).where("not _stored").drop("_stored")
 
 
 def current(sat: DataFrame, hk: str, order: Sequence[str]) -> DataFrame:

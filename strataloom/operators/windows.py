@@ -12,12 +12,12 @@ from strataloom.session import materialise
 
 # Equal-size buckets: slices of the whole table used to find the cut rows.
 NTILE_ROWS_PER_SLICE = 1_000_000
-NTILE_SLICES = (8, 1_000)
+NTILE_SLICES = 1_000
 NTILE_SAMPLE_PER_SLICE = 20
-_SHIFT = 1 << 40
 
 
-def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]]) -> DataFrame:
+def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]],
+                   rows_per_slice: int = NTILE_ROWS_PER_SLICE) -> DataFrame:
     """Adds, for each ``name: order``, the bucket 1..n that ``ntile(n)`` would give.
 
     The order is ascending with nulls lowest and must end in a unique column.
@@ -26,52 +26,92 @@ def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]]) -
     bucket is needed, though: a sample cuts the order into slices, the rows per
     slice are counted, and the wanted rows are looked up in the few slices that
     hold them.  The bucket is then a comparison with ``n - 1`` fixed rows, so no
-    row of ``df`` is shuffled.  ``df`` is read several times: pass a stored table.
+    row of ``df`` is shuffled.  All orders share the three passes over ``df``,
+    which should therefore be a stored table.  One of up to ``rows_per_slice`` rows
+    is a single slice and needs one pass.
     """
     total = df.count()
-    buckets = {name: _bucket(df, order, n, total) for name, order in orders.items()}
-    return df.withColumns(buckets)
-
-
-def _bucket(df: DataFrame, order: Sequence[str], n: int, total: int) -> Column:
     # Rank of the last row of each bucket but the final one: the first
     # ``total % n`` buckets hold one row more than the others.
     small, extra = divmod(total, n)
     ends = sorted({i * small + min(i, extra) for i in range(1, n)} - {0, total})
     if not ends:
-        return F.lit(1)
-
-    at = sort_tuple(df, order)
-    kind = df.select(at.alias("at")).schema["at"].dataType
-    piece = _piece(df, at, kind, total)
-    counts = dict(df.groupBy(piece.alias("s")).count().collect())
-    wanted, before = [], 0
-    for s in sorted(counts):
-        wanted += [(s, e - before) for e in ends if before < e <= before + counts[s]]
-        before += counts[s]
-    last_rows = (
-        df.select(piece.alias("s"), at.alias("at"))
-        .where(F.col("s").isin(sorted({s for s, _ in wanted})))
-        .withColumn("rank", F.row_number().over(Window.partitionBy("s").orderBy("at")))
-        .where((F.col("s") * F.lit(_SHIFT) + F.col("rank")).isin([s * _SHIFT + r for s, r in wanted]))
+        return df.withColumns({name: F.lit(1) for name in orders})
+
+    at = [sort_tuple(df, order) for order in orders.values()]
+    kinds = [f.dataType for f in df.select(*[a.alias(f"at{i}") for i, a in enumerate(at)]).schema]
+    slices = min(-(-total // rows_per_slice), NTILE_SLICES)
+    if slices == 1:
+        pieces, counts = [F.lit(0)] * len(at), [{0: total}] * len(at)
+    else:
+        pieces = _pieces(df, at, kinds, total, slices)
+        counts = _slice_counts(df, pieces)
+    last = _last_rows(df, at, pieces, counts, ends)
+    return df.withColumns({
+        name: _count_below(last[i], at[i], kinds[i]) + 1 for i, name in enumerate(orders)
+    })
+
+
+def _pieces(df: DataFrame, at: Sequence[Column], kinds: Sequence[T.StructType], total: int,
+            slices: int) -> list[Column]:
+    """The slice a row falls into, per order.  The sample is bounded, whatever the table's size."""
+    sample = (
+        df.select(*[a.alias(f"at{i}") for i, a in enumerate(at)])
+        .sample(fraction=min(1.0, slices * NTILE_SAMPLE_PER_SLICE / total), seed=17)
+        .agg(*[F.sort_array(F.collect_list(f"at{i}")) for i in range(len(at))])
+        .first()
+    )
+    step = max(1, len(sample[0]) // slices)
+    pieces = []
+    for a, kind, values in zip(at, kinds, sample, strict=True):
+        cuts = [literal_tuple(r, kind) for r in values[step::step]]
+        pieces.append(position(F.array(*cuts), len(cuts), a, len(cuts)) if cuts else F.lit(0))
+    return pieces
+
+
+def _each(pieces: Sequence[Column]) -> Column:
+    """One ``(order, slice)`` per order."""
+    return F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), p.alias("s")) for i, p in enumerate(pieces)
+    ])).alias("p")
+
+
+def _slice_counts(df: DataFrame, pieces: Sequence[Column]) -> list[dict[int, int]]:
+    counts: list[dict[int, int]] = [{} for _ in pieces]
+    for i, s, rows in df.select(_each(pieces)).groupBy("p.i", "p.s").count().collect():
+        counts[i][s] = rows
+    return counts
+
+
+def _last_rows(df: DataFrame, at: Sequence[Column], pieces: Sequence[Column],
+               counts: Sequence[Mapping[int, int]], ends: Sequence[int]) -> list[list]:
+    """Per order, the rows at the ranks ``ends``."""
+    wanted = []
+    for i, rows_in in enumerate(counts):
+        before = 0
+        for s in sorted(rows_in):
+            wanted += [(i, s, e - before) for e in ends if before < e <= before + rows_in[s]]
+            before += rows_in[s]
+
+    # Rows of a slice are compared by their own order; the other orders are null.
+    own = [F.when(F.col("p.i") == i, F.col(f"at{i}")).alias(f"at{i}") for i in range(len(at))]
+    w = Window.partitionBy("i", "s").orderBy(*[f"at{i}" for i in range(len(at))])
+    found = (
+        df.select(_each(pieces), *[a.alias(f"at{i}") for i, a in enumerate(at)])
+        .where(F.col("p").isin(*_literals({(i, s) for i, s, _ in wanted})))
+        .select("p.i", "p.s", *own)
+        .withColumn("rank", F.row_number().over(w))
+        .where(F.struct("i", "s", "rank").isin(*_literals(wanted)))
         .collect()
     )
-    last_rows.sort(key=lambda r: (r["s"], r["rank"]))
-    return _count_below([r["at"] for r in last_rows], at, kind) + 1
+    last: list[list] = [[] for _ in at]
+    for r in sorted(found, key=lambda r: (r["i"], r["s"], r["rank"])):
+        last[r["i"]].append(r[f"at{r['i']}"])
+    return last
 
 
-def _piece(df: DataFrame, at: Column, kind: T.StructType, total: int) -> Column:
-    """The slice a row falls into.  The sample is bounded, whatever the table's size."""
-    slices = min(max(NTILE_SLICES[0], total // NTILE_ROWS_PER_SLICE), NTILE_SLICES[1])
-    sample = (
-        df.select(at.alias("at"))
-        .sample(fraction=min(1.0, slices * NTILE_SAMPLE_PER_SLICE / total), seed=17)
-        .agg(F.sort_array(F.collect_list("at")).alias("at"))
-        .first()["at"]
-    )
-    step = max(1, len(sample) // slices)
-    cuts = [literal_tuple(r, kind) for r in sample[step::step]]
-    return position(F.array(*cuts), len(cuts), at, len(cuts)) if cuts else F.lit(0)
+def _literals(tuples) -> list[Column]:
+    return [F.struct(*[F.lit(v) for v in t]) for t in sorted(tuples)]
 
 
 def _count_below(ends: list, at: Column, kind: T.StructType) -> Column:
@@ -99,12 +139,13 @@ def _carry(sliced: Sliced, keys: Sequence[str], carried: DataFrame) -> DataFrame
 
 
 def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
-             name: str = "previous", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+             name: str = "previous", rows_per_slice: int = ROWS_PER_SLICE,
+             like: DataFrame | None = None) -> DataFrame:
     """Adds ``name``: a struct of ``cols`` of the row before within the key, null on the first.
 
-    ``order`` must not tie within a key.
+    ``order`` must not tie within a key.  ``like`` is passed to ``slice_hot_keys``.
     """
-    sliced = slice_hot_keys(df, keys, order, rows_per_slice)
+    sliced = slice_hot_keys(df, keys, order, rows_per_slice, like)
     this = F.struct(*cols)
     if not sliced.hot:
         w = Window.partitionBy(*keys).orderBy(*order)
@@ -126,10 +167,10 @@ def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Seq
 
 
 def changes(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
-            rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+            rows_per_slice: int = ROWS_PER_SLICE, like: DataFrame | None = None) -> DataFrame:
     """Rows whose ``cols`` differ from the row before within the key; the first row counts."""
     before = "_strataloom_before"
-    rows = previous(df, keys, cols, order, before, rows_per_slice)
+    rows = previous(df, keys, cols, order, before, rows_per_slice, like)
     same = F.col(before).isNotNull()
     for c in cols:
         same = same & F.col(c).eqNullSafe(F.col(f"{before}.{c}"))
@@ -137,14 +178,15 @@ def changes(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequ
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-            name: str = "running", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+            name: str = "running", rows_per_slice: int | None = ROWS_PER_SLICE) -> DataFrame:
     """Adds ``name``: the sum of ``col`` over the key's rows up to and including this one.
 
-    ``order`` must not tie within a key.
+    ``order`` must not tie within a key.  Pass no ``rows_per_slice`` where a key
+    cannot have many rows, such as one per month: hot keys are not looked for.
     """
-    sliced = slice_hot_keys(df, keys, order, rows_per_slice)
+    sliced = slice_hot_keys(df, keys, order, rows_per_slice) if rows_per_slice else None
     whole = (Window.unboundedPreceding, Window.currentRow)
-    if not sliced.hot:
+    if sliced is None or not sliced.hot:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*whole)
         return df.withColumn(name, F.sum(col).over(w))
 

@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strataloom.functions.ordering import micros
-from strataloom.functions.values import MONEY_SUM, mean_of, money, money_sum
+from strataloom.functions.values import MONEY_SUM, mean_of, money_sum
 from strataloom.operators.sets import top_k
 from strataloom.operators.windows import ntile_at_scale
 from strataloom.session import materialise
@@ -29,6 +29,7 @@ def day(c: str) -> Column:
 
 
 def month(c: str) -> Column:
+    """The period text of a mart, such as ``2024-05``."""
     return F.date_format(c, "yyyy-MM")
 
 
@@ -41,7 +42,7 @@ def rfm(orders: DataFrame, users: DataFrame, n: int = 5) -> DataFrame:
     per_user = orders.groupBy("user_id").agg(
         F.max("ordered_at").alias("last_order"),
         F.count("*").alias("n_orders"),
-        money_sum("amount").alias("total"),
+        money_sum(orders, "amount").alias("total"),
     )
     base = users.select("user_id").join(per_user, "user_id", "left").select(
         "user_id", "last_order",
@@ -59,14 +60,17 @@ def rfm(orders: DataFrame, users: DataFrame, n: int = 5) -> DataFrame:
 
 def courier_payout(facts: DataFrame, tiers: Sequence[tuple[float | None, str]] = PAYOUT_TIERS) -> DataFrame:
     """Payout per courier and month from ``facts(courier_id, delivered_at, amount, rating)``."""
-    per_month = facts.groupBy("courier_id", month("delivered_at").alias("month")).agg(
+    # Grouped by the first day of the month; its text is made per result row.
+    first_day = F.trunc(day("delivered_at"), "month").alias("first_day")
+    per_month = facts.groupBy("courier_id", first_day).agg(
         F.count("*").alias("deliveries"),
-        money_sum("amount").alias("gross"),
-        F.sum(money("rating")).alias("_ratings"),
+        money_sum(facts, "amount").alias("gross"),
+        money_sum(facts, "rating").alias("ratings"),
+    )
+    rated = per_month.select(
+        "courier_id", month("first_day").alias("month"), "deliveries", "gross",
+        (F.col("ratings").cast("double") / F.col("deliveries")).alias("avg_rating"),
     )
-    rated = per_month.withColumn(
-        "avg_rating", F.col("_ratings").cast("double") / F.col("deliveries")
-    ).drop("_ratings")
     rate: Column | None = None
     for below, value in tiers:
         value = F.lit(value).cast("decimal(4,2)")
@@ -153,7 +157,7 @@ def dashboard_kpi(orders: DataFrame, geo: DataFrame) -> DataFrame:
     """
     # One row per customer and day before the join: counts the customers too.
     per_customer = orders.groupBy("customer_id", day("ordered_at").alias("day")).agg(
-        F.count("*").alias("n"), money_sum("amount").alias("amount")
+        F.count("*").alias("n"), money_sum(orders, "amount").alias("amount")
     )
     return (
         per_customer.join(geo, "customer_id")
@@ -173,7 +177,7 @@ def daily_turnover(orders: DataFrame) -> DataFrame:
     ``orders(account_id, ordered_at, status, amount)``.
     """
     per_account = orders.groupBy(day("ordered_at").alias("day"), "status", "account_id").agg(
-        F.count("*").alias("n"), money_sum("amount").alias("amount")
+        F.count("*").alias("n"), money_sum(orders, "amount").alias("amount")
     )
     return (
         per_account.groupBy("day", "status")

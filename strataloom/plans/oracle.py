@@ -164,8 +164,7 @@ SQL: dict[str, str] = {
     "agg_group": f"""
         SELECT o_custkey, count(*) AS n_orders, {_money_sum('o_totalprice')} AS total,
                sum({_money('o_totalprice')})::DOUBLE / count(*) AS average,
-               min({_money('o_totalprice')})::DOUBLE AS smallest,
-               max({_money('o_totalprice')})::DOUBLE AS largest,
+               min(o_totalprice) AS smallest, max(o_totalprice) AS largest,
                min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
         FROM orders GROUP BY o_custkey""",
     "agg_distinct": "SELECT ts::DATE::VARCHAR AS day, count(DISTINCT user_id) AS n_user_id FROM events GROUP BY ALL",

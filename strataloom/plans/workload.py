@@ -358,13 +358,13 @@ def join_anti(t: Lake) -> DataFrame:
 
 @query
 def agg_group(t: Lake) -> DataFrame:
-    price = money("o_totalprice")
+    total = money_sum(t.orders, "o_totalprice")
     return aggregates.summarise(t.orders, ["o_custkey"], {
         "n_orders": F.count("*"),
-        "total": F.sum(price).cast(MONEY_SUM),
-        "average": (F.sum(price).cast("double") / F.count("*")),
-        "smallest": F.min(price),
-        "largest": F.max(price),
+        "total": total,
+        "average": total.cast("double") / F.count("*"),
+        "smallest": F.min("o_totalprice"),
+        "largest": F.max("o_totalprice"),
         "first_order": F.min("o_orderdate"),
         "last_order": F.max("o_orderdate"),
     })
@@ -388,7 +388,7 @@ def token_count(t: Lake) -> DataFrame:
 
 @query
 def ntile_global(t: Lake) -> DataFrame:
-    spend = t.orders.groupBy("o_custkey").agg(money_sum("o_totalprice").alias("total"))
+    spend = t.orders.groupBy("o_custkey").agg(money_sum(t.orders, "o_totalprice").alias("total"))
     return windows.ntile_at_scale(materialise(spend, "spend"), 5, {"bucket": ["total", "o_custkey"]})
 
 
@@ -400,13 +400,14 @@ def lag_change(t: Lake) -> DataFrame:
 @query
 def running_total(t: Lake) -> DataFrame:
     monthly = marts.courier_payout(deliveries(t)).select("courier_id", "month", "payout")
-    total = windows.running(monthly, ["courier_id"], ["month"], "payout", "paid_so_far")
+    # One row per courier and month: no courier can be hot.
+    total = windows.running(monthly, ["courier_id"], ["month"], "payout", "paid_so_far", None)
     return total.withColumn("paid_so_far", F.col("paid_so_far").cast(MONEY_SUM))
 
 
 @query
 def top_k(t: Lake) -> DataFrame:
-    spend = t.orders.groupBy("o_custkey").agg(money_sum("o_totalprice").alias("total"))
+    spend = t.orders.groupBy("o_custkey").agg(money_sum(t.orders, "o_totalprice").alias("total"))
     return sets.top_k(spend, "total", "o_custkey", 25)
 
 

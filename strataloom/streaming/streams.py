@@ -83,6 +83,8 @@ def write_each_batch(stream: DataFrame, writers: Sequence[Writer], checkpoint: s
     number, as ``batch_files`` does.
     """
     def fan_out(batch: DataFrame, batch_id: int) -> None:
+        if len(writers) == 1:
+            return writers[0](batch, batch_id)
         batch.persist()
         try:
             for write in writers:
@@ -115,7 +117,7 @@ def layers(root: str, source: str, load_ts: str, spec: Mapping[str, str]) -> Wri
 def user_counters(core: DataFrame) -> DataFrame:
     """Events, value and last activity per user of ``core(user_id, ts, value)``."""
     return core.groupBy("user_id").agg(
-        F.count("*").alias("events"), money_sum("value").alias("value"), F.max("ts").alias("last_seen"),
+        F.count("*").alias("events"), money_sum(core, "value").alias("value"), F.max("ts").alias("last_seen"),
     )
 
 
