@@ -35,17 +35,34 @@ def literal_tuple(row: Row, kind: T.StructType) -> Column:
     )
 
 
-def position(bounds: Column, size: Column | int, value: Column, largest: int) -> Column:
-    """How many entries of the sorted array ``bounds`` are not above ``value``.
+def place(cuts: Sequence[Column], value: Column) -> Column:
+    """How many of the sorted ``cuts`` lie below ``value``.
 
-    A binary search in ``log2(largest)`` steps; ``size`` is the length of the
-    array and ``largest`` an upper bound for it.
+    A tree of comparisons, so a row meets ``log2(len(cuts))`` of them.  Up to a
+    hundred or so cuts it is compiled, which is many times faster than searching
+    an array.
+    """
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        above = between(middle + 1, high)
+        return F.when(value > cuts[middle], above).otherwise(between(low, middle))
+
+    return between(0, len(cuts))
+
+
+def place_in(bounds: Column, field: str, value: Column, largest: int) -> Column:
+    """How many entries of the sorted array ``bounds`` have a ``field`` below ``value``.
+
+    For bounds that differ by row: a binary search in ``log2(largest)`` steps,
+    where ``largest`` is an upper bound for the length of the array.
     """
     steps = [1 << k for k in reversed(range(max(1, int(largest).bit_length())))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),
         F.lit(0),
         lambda at, step: F.when(
-            (at + step <= size) & (value >= F.get(bounds, at + step - 1)), at + step
+            (at + step <= F.size(bounds)) & (value > F.get(bounds, at + step - 1)[field]), at + step
         ).otherwise(at),
     )

@@ -62,11 +62,16 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None,
 
 
 def touched(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys``."""
-    return df.join(keys.select(*on), list(on), "left_semi")
+    """Rows of ``df`` whose key is in ``keys``, which may hold a key many times."""
+    # Distinct uses the shuffle the join needs anyway, and a hot key becomes one row.
+    return df.join(keys.select(*on).distinct(), list(on), "left_semi")
 
 
 def not_in(df: DataFrame, other: DataFrame, keys: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows of ``df`` that have no partner in ``other``; ``keys`` pairs the columns."""
-    match = [df[left] == other[right] for left, right in keys]
-    return df.join(other, match, "left_anti")
+    """Rows of ``df`` without a partner in ``other``; ``keys`` pairs the columns.
+
+    A row whose own key is null has no partner.
+    """
+    known = other.select(*[F.col(right).alias(f"_known{i}") for i, (_, right) in enumerate(keys)]).distinct()
+    match = [df[left] == known[f"_known{i}"] for i, (left, _) in enumerate(keys)]
+    return df.join(known, match, "left_anti")

@@ -4,7 +4,7 @@
 the rows one task should sort is cut along the window's order instead: a sample
 gives the cut points, they are stored once, and from then on the slice of a row
 depends on nothing but its own values.  A window over ``(key, slice)`` is then
-right inside each slice, and one small row per slice carries the rest across.
+right inside each slice, and one value per slice carries the rest across.
 Any cut points give the same result; the sample only decides how even the slices
 are.
 """
@@ -16,10 +16,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from strataloom.functions.ordering import position, sort_tuple
+from strataloom.functions.ordering import place_in, sort_tuple
 from strataloom.session import materialise
 
 SLICE = "_strataloom_slice"
+CARRIED = "_strataloom_carried"
 
 # Rows one task is meant to sort.
 ROWS_PER_SLICE = 10_000_000
@@ -38,11 +39,15 @@ class Sliced:
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   rows_per_slice: int = ROWS_PER_SLICE, like: DataFrame | None = None) -> Sliced:
+                   rows_per_slice: int = ROWS_PER_SLICE, like: DataFrame | None = None,
+                   carry: Sequence[str] = ()) -> Sliced:
     """Number the slices of hot keys, from 0 up along ``order``; other keys get -1.
 
+    Cut points are rows of the table, each the last of its slice.  Their columns
+    ``carry`` are attached to the rows of the slice behind, as the struct ``CARRIED``.
+
     Hot keys and cut points are looked for in ``like``, by default ``df`` itself;
-    a part of ``df`` that is cheaper to read will do if it holds most of the rows.
+    a part of its rows that is cheaper to read will do.
     """
     like = df if like is None else like
     n = like.count()
@@ -54,29 +59,31 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     per_slice = max(rows_per_slice, n // MAX_SLICES)
     fraction = min(1.0, SAMPLE_PER_SLICE / per_slice)
     every = max(1, round(per_slice * fraction))
+    row = [F.struct(*carry).alias("row")] if carry else []
     sampled = (
-        like.select(*keys, sort_tuple(like, order).alias("_at"))
+        like.select(*keys, F.struct(sort_tuple(like, order).alias("at"), *row).alias("cut"))
         .sample(fraction=fraction, seed=17)
         .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list("_at")).alias("_at"))
-        .where(F.size("_at") > 2 * every)
+        .agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
+        .where(F.size("cuts") > 2 * every)
     )
     cuts = F.transform(
-        F.sequence(F.lit(every), F.size("_at") - 1, F.lit(every)), lambda i: F.get("_at", i)
+        F.sequence(F.lit(every), F.size("cuts") - 1, F.lit(every)), lambda i: F.get("cuts", i)
     )
     bounds = materialise(
         sampled.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)],
                        F.array_distinct(cuts).alias("_cuts")),
         "slice-bounds",
     )
-    if bounds.isEmpty():
+    longest = bounds.agg(F.max(F.size("_cuts"))).first()[0]
+    if longest is None:
         return whole
 
-    match = [df[k].eqNullSafe(bounds[f"_key{i}"]) for i, k in enumerate(keys)]
-    at = position(F.col("_cuts"), F.size("_cuts"), sort_tuple(df, order), 2 * MAX_SLICES)
-    rows = (
-        df.join(F.broadcast(bounds), match, "left")
-        .withColumn(SLICE, F.when(F.col("_cuts").isNull(), -1).otherwise(at))
-        .select(*df.columns, SLICE)
-    )
-    return Sliced(rows, True)
+    placed = df.withColumn("_at", sort_tuple(df, order))
+    match = [placed[k].eqNullSafe(bounds[f"_key{i}"]) for i, k in enumerate(keys)]
+    at = F.when(F.col("_cuts").isNull(), -1).otherwise(place_in(F.col("_cuts"), "at", F.col("_at"), longest))
+    rows = placed.join(F.broadcast(bounds), match, "left").withColumn(SLICE, at)
+    if carry:
+        last = F.get("_cuts", F.col(SLICE) - 1)["row"]
+        rows = rows.withColumn(CARRIED, F.when(F.col(SLICE) > 0, last))
+    return Sliced(rows.drop("_at", "_cuts", *[f"_key{i}" for i in range(len(keys))]), True)

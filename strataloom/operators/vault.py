@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from strataloom.functions.ordering import sort_tuple
 from strataloom.functions.values import digest, hash_key
 from strataloom.operators.dedup import dedup_latest
 from strataloom.operators.slices import ROWS_PER_SLICE
@@ -56,32 +55,27 @@ def load_satellite(existing: DataFrame | None, batch: DataFrame, key: str, hk: s
 
     A row is compared with the newest older row, stored or in the batch.  Rows
     that arrive late are compared with the stored rows around them; a stored row
-    is never removed.  ``order`` must not tie within a key.
+    is never removed.
     """
-    cols = [hk, *order, *[a for a in attrs if a not in order], "hashdiff"]
     rows = batch.where(F.col(key).isNotNull()).select(
         hash_key(key).alias(hk), *order, *[a for a in attrs if a not in order],
         digest(*attrs).alias("hashdiff"),
     )
+    # Copies of one row lie side by side, the stored one first, so a row that is
+    # sent again never counts as a change.
+    by = [*order, "hashdiff", "_fresh"]
+    fresh = rows.withColumn("_fresh", F.lit(True))
     if existing is None:
-        return changes(rows, [hk], ["hashdiff"], order, rows_per_slice)
+        return changes(fresh, [hk], ["hashdiff"], by, rows_per_slice).drop("_fresh")
 
     # Stored rows that can matter: per key of the batch, those from its oldest
     # row on and the newest one before it.
-    at = sort_tuple(existing, order)
-    oldest = rows.groupBy(hk).agg(F.min(sort_tuple(rows, order)).alias("_oldest"))
-    stored = existing.select(*cols, at.alias("_at")).join(oldest, hk)
-    before = dedup_latest(stored.where("_at < _oldest"), [hk], order)
-    history = stored.where("_at >= _oldest").unionByName(before).select(*cols)
-
-    # Of a row that is both stored and sent again, only the stored one stays, so
-    # a repeated batch changes nothing.
-    again = history.select(hk, *order)
-    fresh = rows.join(again, [hk, *order], "left_anti")
-    both = fresh.withColumn("_stored", F.lit(False)).unionByName(
-        history.withColumn("_stored", F.lit(True))
-    )
-    return changes(both, [hk], ["hashdiff"], order, rows_per_slice, like=rows).where("not _stored").drop("_stored")
+    oldest = rows.groupBy(hk).agg(F.min(order[0]).alias("_oldest"))
+    stored = existing.select(*rows.columns).join(oldest, hk)
+    before = dedup_latest(stored.where(F.col(order[0]) < F.col("_oldest")), [hk], order)
+    history = stored.where(F.col(order[0]) >= F.col("_oldest")).unionByName(before)
+    both = fresh.unionByName(history.drop("_oldest").withColumn("_fresh", F.lit(False)))
+    return changes(both, [hk], ["hashdiff"], by, rows_per_slice, like=fresh).where("_fresh").drop("_fresh")
 
 
 def current(sat: DataFrame, hk: str, order: Sequence[str]) -> DataFrame:

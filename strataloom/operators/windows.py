@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from strataloom.functions.ordering import literal_tuple, position, sort_tuple
-from strataloom.operators.slices import ROWS_PER_SLICE, SLICE, Sliced, slice_hot_keys
+from strataloom.functions.ordering import literal_tuple, place, sort_tuple
+from strataloom.operators.slices import CARRIED, ROWS_PER_SLICE, SLICE, slice_hot_keys
 from strataloom.session import materialise
 
 # Equal-size buckets: slices of the whole table used to find the cut rows.
@@ -48,7 +48,8 @@ def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]],
         counts = _slice_counts(df, pieces)
     last = _last_rows(df, at, pieces, counts, ends)
     return df.withColumns({
-        name: _count_below(last[i], at[i], kinds[i]) + 1 for i, name in enumerate(orders)
+        name: place([literal_tuple(r, kinds[i]) for r in last[i]], at[i]) + 1
+        for i, name in enumerate(orders)
     })
 
 
@@ -64,8 +65,7 @@ def _pieces(df: DataFrame, at: Sequence[Column], kinds: Sequence[T.StructType],
     step = max(1, len(sample[0]) // slices)
     pieces = []
     for a, kind, values in zip(at, kinds, sample, strict=True):
-        cuts = [literal_tuple(r, kind) for r in values[step::step]]
-        pieces.append(position(F.array(*cuts), len(cuts), a, len(cuts)) if cuts else F.lit(0))
+        pieces.append(place([literal_tuple(r, kind) for r in values[step::step]], a))
     return pieces
 
 
@@ -114,56 +114,20 @@ def _literals(tuples) -> list[Column]:
     return [F.struct(*[F.lit(v) for v in t]) for t in sorted(tuples)]
 
 
-def _count_below(ends: list, at: Column, kind: T.StructType) -> Column:
-    if len(ends) <= 16:
-        return sum((F.when(at > literal_tuple(e, kind), 1).otherwise(0) for e in ends), F.lit(0))
-    table = F.array(*[literal_tuple(e, kind) for e in ends])
-    not_above = position(table, len(ends), at, len(ends))
-    # ``position`` also counts the end a row is equal to; that row is still inside.
-    return not_above - F.when(
-        (not_above > 0) & (F.get(table, not_above - 1) == at), 1
-    ).otherwise(0)
-
-
-def _keyed(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]
-
-
-def _carry(sliced: Sliced, keys: Sequence[str], carried: DataFrame) -> DataFrame:
-    """Join the row that each slice of a hot key takes over from those before it."""
-    small = materialise(carried, "slice-carry")
-    match = [sliced.rows[k].eqNullSafe(small[f"_key{i}"]) for i, k in enumerate(keys)]
-    match.append(sliced.rows[SLICE] == small["_slice"])
-    joined = sliced.rows.join(F.broadcast(small), match, "left")
-    return joined.select(*sliced.rows.columns, "_carried")
-
-
 def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
              name: str = "previous", rows_per_slice: int = ROWS_PER_SLICE,
              like: DataFrame | None = None) -> DataFrame:
     """Adds ``name``: a struct of ``cols`` of the row before within the key, null on the first.
 
-    ``order`` must not tie within a key.  ``like`` is passed to ``slice_hot_keys``.
+    ``order`` must not tie within a key, unless by equal ``cols``.  ``like`` is
+    passed to ``slice_hot_keys``.
     """
-    sliced = slice_hot_keys(df, keys, order, rows_per_slice, like)
-    this = F.struct(*cols)
+    sliced = slice_hot_keys(df, keys, order, rows_per_slice, like, cols)
+    before = F.lag(F.struct(*cols))
     if not sliced.hot:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(name, F.lag(this).over(w))
-
-    by_key = [f"_key{i}" for i in range(len(keys))]
-    last = (
-        sliced.rows.where(F.col(SLICE) >= 0)
-        .select(*_keyed(keys), F.col(SLICE).alias("_slice"), this.alias("_this"),
-                sort_tuple(df, order).alias("_at"))
-        .groupBy(*by_key, "_slice")
-        .agg(F.max_by("_this", "_at").alias("_this"))
-    )
-    before = F.lag("_this").over(Window.partitionBy(*by_key).orderBy("_slice"))
-    rows = _carry(sliced, keys, last.select(*by_key, "_slice", before.alias("_carried")))
-    w = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    value = F.coalesce(F.lag(this).over(w), F.col("_carried"))
-    return rows.withColumn(name, value).drop(SLICE, "_carried")
+        return df.withColumn(name, before.over(Window.partitionBy(*keys).orderBy(*order)))
+    inside = before.over(Window.partitionBy(*keys, SLICE).orderBy(*order))
+    return sliced.rows.withColumn(name, F.coalesce(inside, F.col(CARRIED))).drop(SLICE, CARRIED)
 
 
 def changes(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
@@ -190,17 +154,21 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*whole)
         return df.withColumn(name, F.sum(col).over(w))
 
+    # What a slice starts from: the sums of the key's slices before it.
     by_key = [f"_key{i}" for i in range(len(keys))]
     sums = (
         sliced.rows.where(F.col(SLICE) >= 0)
-        .select(*_keyed(keys), F.col(SLICE).alias("_slice"), F.col(col).alias("_v"))
+        .select(*[F.col(k).alias(a) for k, a in zip(keys, by_key, strict=True)],
+                F.col(SLICE).alias("_slice"), F.col(col).alias("_v"))
         .groupBy(*by_key, "_slice")
         .agg(F.sum("_v").alias("_v"))
     )
     below = Window.partitionBy(*by_key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = sums.select(*by_key, "_slice", F.sum("_v").over(below).alias("_carried"))
-    rows = _carry(sliced, keys, carried)
+    starts = materialise(sums.select(*by_key, "_slice", F.sum("_v").over(below).alias("_start")), "slice-starts")
+    match = [sliced.rows[k].eqNullSafe(starts[a]) for k, a in zip(keys, by_key, strict=True)]
+    match.append(sliced.rows[SLICE] == starts["_slice"])
+    rows = sliced.rows.join(F.broadcast(starts), match, "left").drop(*by_key, "_slice")
     here = F.sum(col).over(Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(*whole))
     kind = rows.select(here.alias("v")).schema["v"].dataType
-    both = F.coalesce(here + F.col("_carried"), here, F.col("_carried"))
-    return rows.withColumn(name, both.cast(kind)).drop(SLICE, "_carried")
+    both = F.coalesce(here + F.col("_start"), here, F.col("_start"))
+    return rows.withColumn(name, both.cast(kind)).drop(SLICE, "_start")

@@ -16,6 +16,10 @@ from strataloom.operators.joins import touched
 from strataloom.sources.lake import clustered
 
 
+# More folders than a mart should have: a century of days.
+MAX_PERIODS = 40_000
+
+
 def read_increment(df: DataFrame, cursor_col: str, last) -> DataFrame:
     """Rows past the stored cursor.
 
@@ -55,17 +59,22 @@ def refresh_mart(path: str, facts: DataFrame, changed: Sequence[DataFrame], part
     periods = changed[0].select(part)
     for more in changed[1:]:
         periods = periods.unionByName(more.select(part))
-    # The periods of a calendar: a few thousand short texts at most, however many
-    # rows changed.  As literals they prune the partitions of the facts.
-    names = sorted(r[0] for r in periods.where(F.col(part).isNotNull()).distinct().collect())
+    # The periods of a calendar are few, however many rows changed.  As literals
+    # they prune the partitions of the facts.
+    names = _few(periods, part)
     if not names:
         return
-    spark = facts.sparkSession
-    rebuild_period(build(facts.where(F.col(part).isin(names))), path, part)
-    left = {
-        r[0] for r in facts.where(F.col(part).isin(names)).select(part).distinct().collect()
-    }
-    drop_periods(spark, path, part, [p for p in names if p not in left])
+    hit = facts.where(F.col(part).isin(names))
+    rebuild_period(build(hit), path, part)
+    left = set(_few(hit.select(part), part))
+    drop_periods(facts.sparkSession, path, part, [p for p in names if p not in left])
+
+
+def _few(df: DataFrame, part: str) -> list[str]:
+    found = df.where(F.col(part).isNotNull()).distinct().limit(MAX_PERIODS + 1).collect()
+    if len(found) > MAX_PERIODS:
+        raise ValueError(f"{part} has more than {MAX_PERIODS} values; use a coarser period")
+    return sorted(r[0] for r in found)
 
 
 def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

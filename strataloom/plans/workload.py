@@ -247,7 +247,13 @@ def model_split_sizes(t: Lake) -> DataFrame:
 @query
 def compat_view(t: Lake) -> DataFrame:
     wide = wide_orders(t)
-    return model.wide_view(model.split_wide(wide, WIDE_SPEC), WIDE_SPEC, wide.columns)
+    # The dimensions are stored tables, as after a real split, so the join knows
+    # their size.
+    tables = {
+        name: df if name == "fact" else materialise(df, name)
+        for name, df in model.split_wide(wide, WIDE_SPEC).items()
+    }
+    return model.wide_view(tables, WIDE_SPEC, wide.columns)
 
 
 def order_batches(t: Lake) -> list[DataFrame]:
