@@ -125,7 +125,7 @@ def reconcile(left: DataFrame, right: DataFrame, table: str, sums: Mapping[str,
             F.struct(F.lit(c).alias("column"), F.coalesce(f"s_{c}", F.lit(0)).cast("decimal(38,6)").alias("v"))
             for c in sums
         ]
-        one_row = df.agg(F.count("*").alias("n"), *[F.sum(F.col(c).cast(t)).alias(f"s_{c}") for c, t in sums.items()])
+        one_row = df.agg(F.count("*").alias("n"), *[F.sum(F.col(c).try_cast(t)).alias(f"s_{c}") for c, t in sums.items()])
         return one_row.select(F.explode(F.array(*measures)).alias("m")).select("m.column", (F.col("m.v") * sign).alias("v"))
 
     net = totals(left, 1).unionByName(totals(right, -1)).groupBy("column").agg(F.sum("v").alias("v"))

@@ -154,7 +154,7 @@ def lake_read(t: Lake) -> DataFrame:
 def landed_pages_flatten(t: Lake) -> DataFrame:
     # Pages of at most 100 records each, whatever the keys look like.
     orders = t.orders
-    page = F.floor(F.monotonically_increasing_id() / 100)
+    page = F.expr("monotonically_increasing_id() div 100")
     record = F.struct(*orders.columns)
     landed = orders.select(page.alias("page"), record.alias("r")).groupBy("page").agg(
         F.to_json(F.collect_list("r"), payloads.JSON_TIMES).alias("payload")

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strataloom.functions.values import MONEY_SUM, money_sum
 from strataloom.operators.model import to_core, to_staging
-from strataloom.sources.messages import decode_messages
+from strataloom.sources.messages import decode_messages, encode_messages
 
 # Columns of a message, as a broker delivers them.
 MESSAGE = T.StructType([
@@ -75,6 +75,17 @@ def batch_files(path: str) -> Writer:
     return write
 
 
+def broker_messages(key_cols: Sequence[str], options: Mapping[str, str], fmt: str = "kafka") -> Writer:
+    """A writer that sends each row as a message.
+
+    A replayed batch sends its messages again; their readers deduplicate by key.
+    """
+    def write(df: DataFrame, batch_id: int) -> None:
+        encode_messages(df, key_cols).write.format(fmt).options(**options).mode("append").save()
+
+    return write
+
+
 def write_each_batch(stream: DataFrame, writers: Sequence[Writer], checkpoint: str,
                      trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Write each micro-batch to several targets while computing it once.

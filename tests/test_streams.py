@@ -142,3 +142,11 @@ def test_corrupt_messages_are_kept_apart(spark, events):
     got = spark.read.parquet(out)
     assert got.count() == events.count() + 1
     assert got.where(f"{messages.CORRUPT} is not null").count() == 1
+
+
+def test_messages_out_and_in_again(spark, events):
+    path, sent = topic(spark, [events]), scratch_path(spark, "sent")
+    stream = one_by_one(spark, path, events.schema).drop("timestamp")
+    writer = streams.broker_messages(["event_id"], {"path": sent}, "parquet")
+    streams.write_each_batch(stream, [writer], scratch_path(spark, "cp")).awaitTermination()
+    same(messages.decode_messages(spark.read.parquet(sent), events.schema), events)
