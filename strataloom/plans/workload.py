@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from strataloom.functions.values import MONEY, MONEY_SUM, money, money_sum
 from strataloom.operators import aggregates, dedup, filters, joins, model, quality, sets, vault, windows
 from strataloom.plans import incremental, marts
-from strataloom.session import materialise, scratch_path, tune
+from strataloom.session import materialise, scratch_path, size_for, tune
 from strataloom.sources import lake, messages, payloads
 from strataloom.streaming import streams
 
@@ -37,6 +37,7 @@ class Lake:
 
     def __getattr__(self, name: str) -> DataFrame:
         self.__dict__[name] = table = lake.read_table(self.spark, self.root, name)
+        size_for(table)
         return table
 
     def scratch(self, label: str) -> str:

@@ -8,8 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job here relies on.  They can be set on a session that
-# somebody else built.  Partition counts are left to the cluster's own settings:
-# adaptive execution coalesces or splits them by measured size.
+# somebody else built.  Partition counts follow the input, see ``size_for``.
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -27,6 +26,33 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# A scan has at most this many tasks and a shuffle this many partitions: more
+# would cost the driver more in bookkeeping than smaller tasks gain.
+SCAN_TASKS = 200_000
+SHUFFLE_PARTITIONS = 20_000
+SHUFFLE_BYTES = 256 * 1024 * 1024
+SPLIT_BYTES = (128 * 1024 * 1024, 1024 * 1024 * 1024)
+
+
+def size_for(df: DataFrame) -> None:
+    """Fit the session's splits and shuffles to the input ``df``; settings only grow.
+
+    The size comes from the file listing.  Adaptive execution joins the shuffle
+    partitions again where a stage turns out smaller, so the number is set for the
+    largest stage, and only for batch queries: a stream's state keeps its own.
+    """
+    spark = df.sparkSession
+    nbytes = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = min(max(SPLIT_BYTES[0], nbytes // SCAN_TASKS), SPLIT_BYTES[1])
+    name = "spark.sql.files.maxPartitionBytes"
+    if split > spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)):
+        spark.conf.set(name, str(split))
+    partitions = min(nbytes // SHUFFLE_BYTES, SHUFFLE_PARTITIONS)
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if partitions > int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(name, str(partitions))
+
+
 def local_session(cores: str | int = 8, app: str = "strataloom", **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
