@@ -19,16 +19,13 @@ def _first(df: DataFrame, part: Sequence[Column], order: Sequence[Column]) -> Da
     return df.withColumn(_RANK, rank).where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def _part(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    # Long texts are compared only where their short hashes agree.
-    if any(isinstance(df.schema[k].dataType, T.StringType) for k in keys):
-        return [F.xxhash64(*keys), *[F.col(k) for k in keys]]
-    return [F.col(k) for k in keys]
-
-
 def dedup_exact(df: DataFrame, cols: Sequence[str], id: str) -> DataFrame:
     """One row of those that agree on ``cols``: the one with the smallest ``id``."""
-    return _first(df, _part(df, cols), [F.col(id).asc()])
+    part = [F.col(c) for c in cols]
+    if any(isinstance(df.schema[c].dataType, T.StringType) for c in cols):
+        # Sorted by a short hash first, long texts are compared only where it agrees.
+        part.insert(0, F.xxhash64(*cols))
+    return _first(df, part, [F.col(id).asc()])
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -37,4 +34,4 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     ``order`` is compared column by column, the largest wins.  It must not tie
     within a key, or the kept row is arbitrary.
     """
-    return _first(df, _part(df, keys), [F.col(c).desc() for c in order])
+    return _first(df, [F.col(k) for k in keys], [F.col(c).desc() for c in order])

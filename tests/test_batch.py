@@ -1,8 +1,10 @@
 """Batch operators on small injected faults, repeats and round trips."""
 
 import datetime as dt
+from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from strataloom.functions import values
@@ -105,6 +107,20 @@ def test_columnar_store_prunes_partitions(spark, events):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_hot_partition_is_written_by_several_tasks(spark):
+    lineitem = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").repartition(8)
+    month = F.when(F.col("l_orderkey") % 3 == 0, "1998-05").otherwise(marts.month("l_shipdate"))
+    path = scratch_path(spark, "hot")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        stored = lake.load_columnar(lineitem.withColumn("ship_month", month), path, ["ship_month"], ["l_shipdate"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert stored.count() == lineitem.count()
+    files = Counter(f.split("ship_month=")[1].split("/")[0] for f in stored.inputFiles())
+    assert files["1998-05"] > 1 and Counter(files.values()).most_common(1)[0][0] == 1
+
+
 def test_jdbc_adapter_needs_a_driver(spark):
     with pytest.raises(Exception, match="driver"):
         relational.read_jdbc(spark, "jdbc:postgresql://nowhere/db", "t", "id", 0, 10, 2)
@@ -237,6 +253,22 @@ def test_satellite_of_a_hot_key(spark, events):
     same(first.unionByName(second), plain)
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.integers(1, 2), st.sampled_from(["a", "b", None])), min_size=2, max_size=12), cut=st.integers(1, 11))
+def test_satellite_property(spark, data, cut):
+    numbered = [(k, v, i) for i, (k, v) in enumerate(data)]
+    last, want = {}, []
+    for k, v, i in numbered:
+        if k not in last or last[k] != v:
+            want.append((k, v, i))
+        last[k] = v
+    args = ("k", "hk", ["v"], ["at"])
+    first = vault.load_satellite(None, satellite(spark, numbered[:cut]), *args)
+    # The second batch repeats the first one.
+    second = vault.load_satellite(first, satellite(spark, numbered), *args)
+    assert sorted((r.at, r.v) for r in first.unionByName(second).collect()) == [(i, v) for _, v, i in want]
+
+
 # --- sets --------------------------------------------------------------------
 
 def test_diff_counts_copies_both_ways(spark):
@@ -246,6 +278,16 @@ def test_diff_counts_copies_both_ways(spark):
     assert sets.diff(left, left).isEmpty()
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(left=st.lists(st.sampled_from("abc"), max_size=9), right=st.lists(st.sampled_from("abc"), max_size=9))
+def test_diff_property(spark, left, right):
+    a, b = ([(x,) for x in side] for side in (left, right))
+    got = sets.diff(spark.createDataFrame(a, "x string"), spark.createDataFrame(b, "x string"))
+    want = [(x, "left", n) for x, n in (Counter(left) - Counter(right)).items()]
+    want += [(x, "right", n) for x, n in (Counter(right) - Counter(left)).items()]
+    assert rows(got) == sorted(want)
+
+
 # --- quality -----------------------------------------------------------------
 
 FAULTY = [
