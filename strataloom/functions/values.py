@@ -28,7 +28,7 @@ def money_sum(df: DataFrame, name: str) -> Column:
         df.schema[name].dataType, T.DecimalType
     ):
         return F.sum(money(name)).cast(MONEY_SUM)
-    cents = F.rint(F.col(name) * 100).cast("bigint").cast("decimal(18,0)")
+    cents = F.rint(F.col(name).cast("double") * 100).cast("bigint").cast("decimal(18,0)")
     return (F.sum(cents) * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
 
 

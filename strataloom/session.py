@@ -17,6 +17,11 @@ RUNTIME = {
     # Split a hot join key even where that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Keys a stream remembers lie on the executors' disks, not in their heaps, and
+    # a micro-batch stores only what changed.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

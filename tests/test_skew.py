@@ -1,0 +1,48 @@
+"""Queries against their SQL on tables in which one key holds about a third of the rows."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_module
+from tests.compare import duck, duck_rows, explain_difference, spark_rows
+
+SOURCE = "/root/testdata/sf0.001"
+HOT = {
+    "orders": "CASE WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey, "
+              "CASE WHEN o_orderkey % 3 = 1 THEN TIMESTAMP '1998-05-05' ELSE o_orderdate END AS o_orderdate",
+    "lineitem": "CASE WHEN l_linenumber <= 2 THEN 5 ELSE l_partkey END AS l_partkey, "
+                "CASE WHEN l_quantity < 17 THEN 3 ELSE l_suppkey END AS l_suppkey, "
+                "CASE WHEN l_extendedprice < 20000 THEN 11 ELSE l_orderkey END AS l_orderkey",
+    "events": "CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id, "
+              "CASE WHEN event_id % 5 = 0 THEN NULL ELSE props END AS props",
+    "documents": "CASE WHEN doc_id % 3 = 0 THEN 'the same text' ELSE text END AS text",
+    "conversations": "CASE WHEN turn = 1 THEN 0 ELSE conv_id END AS conv_id",
+    "customer": "CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE c_nationkey END AS c_nationkey, "
+                "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment",
+}
+NAMES = [
+    "rfm", "courier_payout", "running_total", "first_message_conversion_all", "social_activity", "customer_category",
+    "dashboard_kpi", "daily_turnover", "dedup_exact", "dedup_latest", "dim_build", "fact_build", "compat_view",
+    "vault_hub", "vault_satellite", "join_anti", "join_semi", "agg_distinct", "token_count", "ntile_global",
+    "except_recon", "kafka_encode", "landed_pages_flatten", "dq_unique", "dq_reference", "upsert", "stream_static_join",
+]
+
+
+@pytest.fixture(scope="module")
+def hot_dir(tmp_path_factory):
+    path = tmp_path_factory.mktemp("hot")
+    con = duckdb.connect()
+    for f in os.listdir(SOURCE):
+        replace = f" REPLACE ({HOT[f[:-8]]})" if f[:-8] in HOT else ""
+        con.execute(f"COPY (SELECT *{replace} FROM '{SOURCE}/{f}') TO '{path}/{f}' (FORMAT parquet)")
+    return str(path)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_equals_sql_on_hot_keys(spark, hot_dir, name):
+    got = spark_rows(entry_module.queries()[name](spark, hot_dir))
+    want = duck_rows(duck(hot_dir), entry_module.oracle_sql()[name])
+    assert got[0] == want[0]
+    assert got[1] == want[1], explain_difference(got[1], want[1])
