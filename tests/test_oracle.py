@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from strataloom.plans import oracle
+from strataloom.plans.workload import REGISTRY
 from tests.compare import SF_DIR, duck, duck_rows, explain_difference, spark_rows
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = REGISTRY, oracle.SQL
 
 
 @pytest.fixture(scope="module")
