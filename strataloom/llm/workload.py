@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import language, leaks, pieces, secrets, token_count
+from strataloom.llm import language, leaks, pieces, secrets, sharding, token_count, url_lists
 from strataloom.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,68 @@ def op10_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("leak.id").alias("item_id"), F.col("leak.shared").cast("long").alias("n_shared"),
         F.col("leak.of").cast("long").alias("n_item"), (F.col("leak.shared") / F.col("leak.of")).alias("containment"),
     )
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(lake.read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# Fixed value: the tables hold no fetch times, so a page's day follows from its number.
+FIRST_DAY = "2024-01-01"
+
+
+def list_of_hosts(pages: DataFrame) -> DataFrame:
+    """A dated list made from the pages' own hosts.
+
+    Domains with a hyphen are listed, dropped after 60 days and listed again after
+    120; each host's English pages are listed for 90 days.
+    """
+    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host")).where("host != ''").distinct()
+    domains = hosts.select(F.substring_index("host", ".", -3).alias("pattern")).distinct().where("pattern LIKE '%-%'")
+    first = F.date_add(F.lit(FIRST_DAY).cast("date"), (F.length("pattern") * 11 % 150).cast("int"))
+
+    def changes(df, kind, days):
+        return df.select(F.lit(kind).alias("kind"), "pattern", F.explode(F.array(*[
+            F.struct(F.lit(on).alias("listed"), F.date_add(first, d).alias("at")) for d, on in days])).alias("c")).select("kind", "pattern", "c.*")
+
+    english = hosts.select(F.concat("host", F.lit("/en")).alias("pattern"))
+    return changes(domains, "domain", [(0, True), (60, False), (120, True)]).unionAll(changes(english, "prefix", [(30, True), (120, False)]))
+
+
+@query
+def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = lake.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_on", F.date_add(F.lit(FIRST_DAY).cast("date"), F.pmod("page_id", F.lit(366)).cast("int")))
+    return url_lists.evaluate(captures, list_of_hosts(pages), at="fetched_on").withColumn("fetched_on", F.col("fetched_on").cast("string"))
+
+
+SQL["op6_url_lists"] = r"""
+WITH seen AS (
+  SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS DATE) AS fetched_on,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+         rtrim(regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1), '/') AS path
+  FROM pages),
+hosts AS (SELECT DISTINCT host FROM seen WHERE host <> ''),
+named AS (
+  SELECT DISTINCT 'domain' AS kind, regexp_extract(host, '(?:[^.]*[.]){0,2}[^.]*$', 0) AS pattern FROM hosts
+  UNION ALL SELECT 'prefix', host || '/en' FROM hosts),
+dated AS (
+  SELECT kind, pattern, DATE '2024-01-01' + CAST(length(pattern) * 11 % 150 AS INTEGER) AS first
+  FROM named WHERE kind = 'prefix' OR contains(pattern, '-')),
+changes AS (
+  SELECT kind, pattern, first + d AS since, listed
+  FROM dated JOIN (VALUES ('domain', 0, true), ('domain', 60, false), ('domain', 120, true),
+                          ('prefix', 30, true), ('prefix', 120, false)) v(k, d, listed) ON k = kind),
+valid AS (
+  SELECT kind, pattern, listed, since AS b, lead(since) OVER (PARTITION BY kind, pattern ORDER BY since) AS e FROM changes),
+active AS (
+  SELECT page_id, s.url, s.fetched_on, kind, pattern
+  FROM seen s JOIN valid v ON listed AND b <= s.fetched_on AND (e IS NULL OR s.fetched_on < e)
+   AND (kind = 'domain' AND (host = pattern OR ends_with(host, '.' || pattern))
+     OR kind = 'prefix' AND (host || path = pattern OR starts_with(host || path, pattern || '/'))))
+SELECT p.page_id, p.url, CAST(p.fetched_on AS VARCHAR) AS fetched_on, count(kind) > 0 AS listed, count(kind) AS n_active,
+       arg_max(kind || ':' || pattern, struct_pack(a := length(pattern), b := kind || ':' || pattern)) AS entry
+FROM seen p LEFT JOIN active a ON a.page_id = p.page_id AND a.url = p.url
+GROUP BY p.page_id, p.url, p.fetched_on
+"""
