@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import language, leaks, pieces, secrets
+from strataloom.llm import language, leaks, pieces, secrets, shingle_links
 from strataloom.llm.workload import PIECES, RANKS
 from strataloom.session import materialise
 from strataloom.sources import lake
@@ -24,6 +24,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(*COLUMNS)
 
 
+def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies, the one with the least id."""
+    kept = shingle_links.join(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    # Rows that repeat an id and its text are one document.
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+
+
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain an item of the benchmark."""
     found = leaks.find(docs, lake.read_table(spark, sf_dir, "benchmark"))
@@ -46,17 +53,18 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("language", identify_language),
+    ("near copies", keep_one_of_a_kind),
     ("leaks", remove_leaks),
     ("secrets", redact_secrets),
     ("pieces", encode_pieces),
 ]
 
-# The stages' methods (profiles, sketches, tokenizers) cannot be said in SQL.
+# The stages' methods (profiles, sampled paths, sketches, tokenizers) cannot be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lake.read_table(spark, sf_dir, "documents").select(*COLUMNS)
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

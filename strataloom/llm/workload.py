@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import language, leaks, pieces, secrets, sharding, token_count, url_lists
+from strataloom.llm import language, leaks, pieces, secrets, sharding, shingle_links, token_count, url_lists, vector_links
 from strataloom.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,13 @@ SELECT p.page_id, p.url, CAST(p.fetched_on AS VARCHAR) AS fetched_on, count(kind
 FROM seen p LEFT JOIN active a ON a.page_id = p.page_id AND a.url = p.url
 GROUP BY p.page_id, p.url, p.fetched_on
 """
+
+
+@query
+def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.link(lake.read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_shingle_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_links.join(lake.read_table(spark, sf_dir, "documents"))
