@@ -26,9 +26,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, the one with the least id."""
-    kept = shingle_links.join(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    # Rows that repeat an id and its text are one document.
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    kept = materialise(shingle_links.join(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    stays = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+    # Rows that repeat an id and its text are one document; without such rows no shuffle is needed.
+    return stays.dropDuplicates(["doc_id", "text"]) if kept.where("rows > 1").take(1) else stays
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

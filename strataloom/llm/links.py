@@ -21,7 +21,7 @@ from strataloom.session import materialise
 BLOCK = 512
 
 
-def grouped(df: DataFrame, key: str, schema: T.StructType, work: Callable[[pa.Table, list[tuple[int, int]]], Iterator[pa.RecordBatch]]) -> DataFrame:
+def grouped(df: DataFrame, key: str, schema: T.StructType | str, work: Callable[[pa.Table, list[tuple[int, int]]], Iterator[pa.RecordBatch]]) -> DataFrame:
     """Runs ``work`` over groups of rows with the same ``key``.
 
     ``work`` gets a table and the stretches of its rows that are whole groups, many

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import language, leaks, pieces, secrets, sharding, shingle_links, token_count, url_lists, vector_links
+from strataloom.llm import language, leaks, pieces, repeats, secrets, sharding, shingle_links, token_count, url_lists, vector_links
 from strataloom.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,3 +146,16 @@ def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_shingle_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_links.join(lake.read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = lake.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    known, found = repeats.spans(docs, extra=[F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256")])
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    cut = repeats.kept(docs, found).select("key", F.sha2("kept", 256).alias("cut_sha256"))
+    cut = found.select("key", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans")).join(cut, "key")
+    # A text without repeats is kept as it is.
+    return known.join(cut, "key", "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
+        F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
