@@ -19,6 +19,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no letter, or no likeness to any profile."""
+    docs = docs.select(*COLUMNS)
     known = docs.where(~language.held_out(F.col("doc_id")))
     found = language.predict(docs, language.learn(known))
     return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(*COLUMNS)
@@ -26,6 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, the one with the least id."""
+    docs = docs.select(*COLUMNS)
     kept = materialise(shingle_links.join(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
     stays = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
     # Rows that repeat an id and its text are one document; without such rows no shuffle is needed.
@@ -34,20 +36,20 @@ def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that contain an item of the benchmark."""
-    found = leaks.find(docs, lake.read_table(spark, sf_dir, "benchmark"))
+    found = leaks.find(docs.select(*COLUMNS), lake.read_table(spark, sf_dir, "benchmark"))
     return found.where(F.size("leaks") == 0).select(*COLUMNS)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts and counts the characters anew."""
-    found = secrets.find(docs, RANKS, public_tokenizers.PATTERN)
+    found = secrets.find(docs.select(*COLUMNS), RANKS, public_tokenizers.PATTERN)
     return found.select("doc_id", secrets.redact(F.col("text"), F.col("secrets")).alias("text"), "lang", "source").withColumn(
         "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, with an end id, and whether they decode to it."""
-    coded = pieces.decode(pieces.encode(docs, PIECES), PIECES)
+    coded = pieces.decode(pieces.encode(docs.select(*COLUMNS), PIECES), PIECES)
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

@@ -54,13 +54,15 @@ class Segmenter:
     def __init__(self, model: str, end: bool):
         self.sp = load(model)
         self.tail = np.array([self.sp.eos_id()] if end else [], np.int32).tobytes()
-        self.table: dict[str, bytes] = {}
+        # A marker at the end of a text is a word without anything behind the marker.
+        self.single = np.array(self.sp.encode("a ")[len(self.sp.encode("a")):], np.int32).tobytes()
+        self.table = {"": self.single}
         self.chars = 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [marked_words(t) for t in texts]
         if len(self.table) > TABLE_WORDS or self.chars > TABLE_CHARS:
-            self.table, self.chars = {}, 0
+            self.table, self.chars = {"": self.single}, 0
         table = self.table
         fresh = list({w for ws in split for w in ws if w not in table})
         for w, ids in zip(fresh, self.sp.encode(fresh, num_threads=1)):

@@ -67,21 +67,25 @@ def evaluate(captures: DataFrame, changes: DataFrame, url: str = "url", at: str
     deepest = valid.agg(
         F.max(F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\.")))).alias("labels"),
         F.max(F.when(F.col("kind") == "prefix", F.size(F.split("pattern", "/")) - 1)).alias("segments")).first()
-    link = F.col(f"`{url}`")
+    link, time = F.col(f"`{url}`"), F.col(f"`{at}`")
     keyed = (
-        captures.select(link.alias("_url"), F.col(f"`{at}`").alias("_at")).where("_url IS NOT NULL AND _at IS NOT NULL").distinct()
-        .withColumn("_host", host_of(F.col("_url"))).where("_host != ''")
-        .select("_url", "_at", F.explode(keys(F.col("_host"), path_of(F.col("_url")), deepest["labels"] or 0, deepest["segments"] or 0)).alias("_key"))
-        .select("_url", "_at", F.col("_key.kind").alias("kind"), F.col("_key.pattern").alias("pattern"))
+        captures.select(link.alias("url"), time.alias("at")).where("url IS NOT NULL AND at IS NOT NULL").distinct()
+        .withColumn("host", host_of(F.col("url"))).where("host != ''")
+        .select("url", "at", F.explode(keys(F.col("host"), path_of(F.col("url")), deepest["labels"] or 0, deepest["segments"] or 0)).alias("key"))
+        .select("url", "at", F.col("key.kind").alias("kind"), F.col("key.pattern").alias("pattern"))
     )
-    active = keyed.join(valid, ["kind", "pattern"]).where("begin <= _at AND (end IS NULL OR _at < end)")
+    active = keyed.join(valid, ["kind", "pattern"]).where("begin <= at AND (end IS NULL OR at < end)")
     best = F.max(F.struct(F.length("pattern").alias("size"), F.concat_ws(":", "kind", "pattern").alias("entry"))).alias("best")
-    found = active.groupBy("_url", "_at").agg(best, F.count("*").alias("_n"))
+    # Names that no column of the captures has.
+    mark = "_" * (1 + max(map(len, captures.columns)))
+    found = active.groupBy("url", "at").agg(best, F.count("*").alias("n")).select(
+        F.col("url").alias(mark + "url"), F.col("at").alias(mark + "at"), F.col("best.entry").alias(mark + "entry"), F.col("n").alias(mark + "n"))
     kept = captures.select(*[F.col(f"`{c}`") for c in captures.columns if c.lower() not in ("listed", "entry", "n_active")])
     # Rows that cannot match keep away from the join, where their nulls would meet in one task.
-    able = link.isNotNull() & F.col(f"`{at}`").isNotNull()
-    joined = kept.where(able).join(found, (link == F.col("_url")) & (F.col(f"`{at}`") == F.col("_at")), "left")
-    rest = kept.where(~able)
+    able = link.isNotNull() & time.isNotNull()
     shown = [F.col(f"`{c}`") for c in kept.columns]
-    return joined.select(*shown, F.col("_n").isNotNull().alias("listed"), F.col("best.entry").alias("entry"), F.coalesce("_n", F.lit(0)).alias("n_active")).unionAll(
-        rest.select(*shown, F.lit(False).alias("listed"), F.lit(None).cast("string").alias("entry"), F.lit(0).cast("long").alias("n_active")))
+    joined = kept.where(able).join(found, (link == F.col(mark + "url")) & (time == F.col(mark + "at")), "left")
+    return joined.select(
+        *shown, F.col(mark + "n").isNotNull().alias("listed"), F.col(mark + "entry").alias("entry"), F.coalesce(mark + "n", F.lit(0)).alias("n_active"),
+    ).unionAll(kept.where(~able).select(
+        *shown, F.lit(False).alias("listed"), F.lit(None).cast("string").alias("entry"), F.lit(0).cast("long").alias("n_active")))
