@@ -106,9 +106,9 @@ def shingles(text: pa.Array, n: int = SHINGLE_WORDS) -> list[np.ndarray]:
     h = word_hashes(flat)
     starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
     with np.errstate(over="ignore"):
-        rolled = np.zeros(max(0, len(h) - n + 1), np.uint64)
+        rolled, padded = np.zeros(len(h), np.uint64), np.concatenate([h, np.zeros(n - 1, np.uint64)])
         for k in range(n):
-            rolled = (rolled ^ (rolled >> np.uint64(31))) * np.uint64(MIX[1]) + h[k: len(h) - n + 1 + k]
+            rolled = (rolled ^ (rolled >> np.uint64(31))) * np.uint64(MIX[1]) + padded[k:len(h) + k]
     rolled = mixed(rolled)
     out = []
     for a, b in zip(starts[:-1], starts[1:]):
