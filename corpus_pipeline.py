@@ -18,11 +18,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letter, or no likeness to any profile."""
+    """Drops documents without a language, those that have no letter."""
     docs = docs.select(*COLUMNS)
     known = docs.where(~language.held_out(F.col("doc_id")))
     found = language.predict(docs, language.learn(known))
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(*COLUMNS)
+    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
