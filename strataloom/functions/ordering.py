@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def sort_tuple(df: DataFrame, order: Sequence[str]) -> Column:
@@ -29,25 +30,36 @@ def micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def literal_tuple(row: Row, kind: T.StructType) -> Column:
+def literal_tuple(row: Sequence, kind: T.StructType) -> Column:
     return F.struct(
         *[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind.fields, strict=True)]
     )
 
 
-def place(cuts: Sequence[Column], value: Column) -> Column:
-    """How many of the sorted ``cuts`` lie below ``value``.
+def constant(value, kind: T.DataType) -> Column:
+    """A large constant as one short expression, which the optimiser evaluates once."""
+    text = json.dumps({"v": value}, default=str)
+    return F.from_json(F.lit(text), T.StructType([T.StructField("v", kind)]))["v"]
+
+
+# Up to so many cuts a tree of comparisons is compiled, which is many times faster
+# than searching an array; beyond, it would not fit into one compiled method.
+COMPILED_CUTS = 64
+
+
+def among(cuts: Sequence[Sequence], kind: T.StructType, value: Column) -> Column:
+    """How many of the sorted tuples ``cuts`` lie below ``value``, in ``log2(len(cuts))`` steps."""
+    if len(cuts) > COMPILED_CUTS:
+        entries = [{"at": dict(zip(kind.names, c, strict=True))} for c in cuts]
+        kind = T.ArrayType(T.StructType([T.StructField("at", kind)]))
+        return place_in(constant(entries, kind), "at", value, len(cuts))
 
-    A tree of comparisons, so a row meets ``log2(len(cuts))`` of them.  Up to a
-    hundred or so cuts it is compiled, which is many times faster than searching
-    an array.
-    """
     def between(low: int, high: int) -> Column:
         if low == high:
             return F.lit(low)
         middle = (low + high) // 2
         above = between(middle + 1, high)
-        return F.when(value > cuts[middle], above).otherwise(between(low, middle))
+        return F.when(value > literal_tuple(cuts[middle], kind), above).otherwise(between(low, middle))
 
     return between(0, len(cuts))
 

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 MONEY = "decimal(18,2)"
 MONEY_SUM = "decimal(28,2)"
@@ -14,22 +12,16 @@ UNKNOWN_KEY = "-1"
 
 
 def money(c: Column | str) -> Column:
-    """An amount as an exact decimal, so that its sum does not depend on order."""
-    return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+    """An amount as an exact decimal, so that its sum does not depend on order.
 
+    Rounded half up to cents.  What is no such amount (NaN, infinite, too large) is null.
+    """
+    return (F.col(c) if isinstance(c, str) else c).try_cast(MONEY)
 
-def money_sum(df: DataFrame, name: str) -> Column:
-    """The exact sum of an amount of ``df``, whatever the order of its rows.
 
-    A double is taken to its nearest cent and summed as a whole number, which
-    costs half as much as turning each value into a decimal with two places.
-    """
-    if not isinstance(df.schema[name].dataType, T.FractionalType) or isinstance(
-        df.schema[name].dataType, T.DecimalType
-    ):
-        return F.sum(money(name)).cast(MONEY_SUM)
-    cents = F.rint(F.col(name).cast("double") * 100).cast("bigint").cast("decimal(18,0)")
-    return (F.sum(cents) * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
+def money_sum(df: DataFrame, name: str) -> Column:
+    """The exact sum of ``money`` over an amount of ``df``, whatever the order of its rows."""
+    return F.sum(money(df[name])).cast(MONEY_SUM)
 
 
 def mean_of(total: Column, n: Column) -> Column:

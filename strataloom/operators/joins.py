@@ -12,6 +12,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from strataloom.session import listed_bytes
+
 # Largest lookup table that is sent whole to every executor.
 LOOKUP_ROWS = 1_000_000
 LOOKUP_BYTES = 64 * 1024 * 1024
@@ -44,7 +46,12 @@ def _width(field: T.StructField) -> Column:
 
 
 def small_enough(df: DataFrame, rows: int = LOOKUP_ROWS, size: int = LOOKUP_BYTES) -> bool:
-    """Measures ``df`` in one distributed pass; true if it may be broadcast."""
+    """True if ``df`` may be broadcast, measured in one distributed pass.
+
+    Not measured is what the optimiser knows to be too large from the listing of files.
+    """
+    if listed_bytes(df) > size:
+        return False
     total = sum((_width(f) for f in df.schema.fields), F.lit(0)).cast("bigint")
     n, nbytes = df.agg(F.count("*"), F.coalesce(F.sum(total), F.lit(0))).first()
     return n <= rows and nbytes <= size

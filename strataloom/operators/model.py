@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from strataloom.functions.values import UNKNOWN_KEY, clean, digest
 from strataloom.operators.dedup import dedup_latest
+from strataloom.session import materialise
 
 
 def to_staging(df: DataFrame, source: str, load_ts: str) -> DataFrame:
@@ -46,10 +47,22 @@ def to_core(df: DataFrame, spec: Mapping[str, str], defaults: Mapping[str, objec
 
 
 def build_dim(df: DataFrame, key: str, attrs: Sequence[str], order: Sequence[str], sk: str) -> DataFrame:
-    """One row per natural key, the newest, with the surrogate key ``sk``."""
+    """One row per natural key, the newest, with the surrogate key ``sk``.
+
+    One more row stands for an unknown key: facts without a partner refer to it, so
+    a join of fact and dimension keeps every fact.
+    """
     needed = list(dict.fromkeys([key, *attrs, *order]))
     latest = dedup_latest(df.select(*needed).where(F.col(key).isNotNull()), [key], order)
-    return latest.select(digest(key).alias(sk), key, *attrs)
+    known = latest.select(digest(key).alias(sk), key, *attrs)
+    return known.unionByName(unknown_row(known, sk))
+
+
+def unknown_row(dim: DataFrame, sk: str) -> DataFrame:
+    """The row that stands for "no matching row" in ``dim``: null but for its key."""
+    row = [UNKNOWN_KEY if f.name == sk else None for f in dim.schema.fields]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in dim.schema.fields])
+    return dim.sparkSession.createDataFrame([row], schema)
 
 
 def build_fact(df: DataFrame, dims: Sequence[tuple[DataFrame, str, str, str]],
@@ -79,8 +92,10 @@ def split_wide(df: DataFrame, spec: Mapping[str, DimSpec]) -> dict[str, DataFram
     """Split a wide table into dimensions and a ``fact`` that refers to them.
 
     Nothing is lost as long as the attributes depend on their key.  The surrogate
-    key is computed from the natural key, so the fact needs no join.
+    key is computed from the natural key, so the fact needs no join.  The wide table,
+    often a large join, is computed once and stored.
     """
+    df = materialise(df, "wide")
     tables = {}
     for name, dim in spec.items():
         # Distinct first: it hashes on the map side, where the newest-row rule sorts.

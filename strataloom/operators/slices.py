@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from strataloom.functions.ordering import place_in, sort_tuple
+from strataloom.operators.joins import small_enough
 from strataloom.session import materialise
 
 SLICE = "_strataloom_slice"
@@ -24,8 +25,6 @@ CARRIED = "_strataloom_carried"
 
 # Rows one task is meant to sort.
 ROWS_PER_SLICE = 10_000_000
-# Slices of all hot keys together: bounds what is broadcast and the sample.
-MAX_SLICES = 10_000
 # Sampled rows per slice; more makes the slices more even.
 SAMPLE_PER_SLICE = 20
 
@@ -55,13 +54,11 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if n <= rows_per_slice:
         return whole
 
-    # At most MAX_SLICES slices, so at most SAMPLE_PER_SLICE times as many samples.
-    per_slice = max(rows_per_slice, n // MAX_SLICES)
-    fraction = min(1.0, SAMPLE_PER_SLICE / per_slice)
-    every = max(1, round(per_slice * fraction))
-    row = [F.struct(*carry).alias("row")] if carry else []
+    # The sample holds a fixed share of the rows, and only what they are ordered by.
+    fraction = min(1.0, SAMPLE_PER_SLICE / rows_per_slice)
+    every = max(1, round(rows_per_slice * fraction))
     sampled = (
-        like.select(*keys, F.struct(sort_tuple(like, order).alias("at"), *row).alias("cut"))
+        like.select(*keys, F.struct(sort_tuple(like, order).alias("at")).alias("cut"))
         .sample(fraction=fraction, seed=17)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_list("cut")).alias("cuts"))
@@ -82,8 +79,19 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     placed = df.withColumn("_at", sort_tuple(df, order))
     match = [placed[k].eqNullSafe(bounds[f"_key{i}"]) for i, k in enumerate(keys)]
     at = F.when(F.col("_cuts").isNull(), -1).otherwise(place_in(F.col("_cuts"), "at", F.col("_at"), longest))
-    rows = placed.join(F.broadcast(bounds), match, "left").withColumn(SLICE, at)
-    if carry:
-        last = F.get("_cuts", F.col(SLICE) - 1)["row"]
-        rows = rows.withColumn(CARRIED, F.when(F.col(SLICE) > 0, last))
-    return Sliced(rows.drop("_at", "_cuts", *[f"_key{i}" for i in range(len(keys))]), True)
+    # Hot keys and their cut points are few: one for each ``rows_per_slice`` rows.
+    # Sent to all tasks where that is proven small; else their own join splits hot keys.
+    few = F.broadcast(bounds) if small_enough(bounds) else bounds
+    rows = placed.join(few, match, "left").withColumn(SLICE, at)
+    made = [f"_key{i}" for i in range(len(keys))]
+    if not carry:
+        return Sliced(rows.drop("_at", "_cuts", *made), True)
+    # The columns carried over are looked up afterwards, one row for each slice.
+    ends = rows.where(F.col(SLICE) >= 0).where(F.get("_cuts", F.col(SLICE))["at"] == F.col("_at"))
+    ends = ends.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, made, strict=True)], (F.col(SLICE) + 1).alias("_next")).agg(
+        F.first(F.struct(*carry)).alias(CARRIED))
+    ends = materialise(ends, "slice-ends")
+    rows = rows.drop("_at", "_cuts", *made)
+    match = [rows[k].eqNullSafe(ends[a]) for k, a in zip(keys, made, strict=True)] + [rows[SLICE] == ends["_next"]]
+    ends = F.broadcast(ends) if small_enough(ends) else ends
+    return Sliced(rows.join(ends, match, "left").drop("_next", *made), True)

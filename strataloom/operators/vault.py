@@ -75,7 +75,9 @@ def load_satellite(existing: DataFrame | None, batch: DataFrame, key: str, hk: s
     before = dedup_latest(stored.where(F.col(order[0]) < F.col("_oldest")), [hk], order)
     history = stored.where(F.col(order[0]) >= F.col("_oldest")).unionByName(before)
     both = fresh.unionByName(history.drop("_oldest").withColumn("_fresh", F.lit(False)))
-    return changes(both, [hk], ["hashdiff"], by, rows_per_slice, like=fresh).where("_fresh").drop("_fresh")
+    # A key is hot by all its rows: one late row of a key with a long history brings
+    # that history along.
+    return changes(both, [hk], ["hashdiff"], by, rows_per_slice).where("_fresh").drop("_fresh")
 
 
 def current(sat: DataFrame, hk: str, order: Sequence[str]) -> DataFrame:

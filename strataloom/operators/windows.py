@@ -6,14 +6,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from strataloom.functions.ordering import literal_tuple, place, sort_tuple
+from strataloom.functions.ordering import among, constant, sort_tuple
+from strataloom.operators.joins import small_enough
 from strataloom.operators.slices import CARRIED, ROWS_PER_SLICE, SLICE, slice_hot_keys
 from strataloom.session import materialise
 
-# Equal-size buckets: slices of the whole table used to find the cut rows.
+# Equal-size buckets: rows that one task sorts to find the cut rows, and cut points
+# that one pass adds to the slices it refines.
 NTILE_ROWS_PER_SLICE = 1_000_000
-NTILE_SLICES = 1_000
-NTILE_SAMPLE_PER_SLICE = 20
+NTILE_CUTS_PER_PASS = 20_000
 
 
 def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]],
@@ -23,12 +24,11 @@ def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]],
     The order is ascending with nulls lowest and must end in a unique column.
 
     ``ntile`` over a whole table sorts it in one task.  Only the last row of each
-    bucket is needed, though: a sample cuts the order into slices, the rows per
-    slice are counted, and the wanted rows are looked up in the few slices that
-    hold them.  The bucket is then a comparison with ``n - 1`` fixed rows, so no
-    row of ``df`` is shuffled.  All orders share the three passes over ``df``,
-    which should therefore be a stored table.  One of up to ``rows_per_slice`` rows
-    is a single slice and needs one pass.
+    bucket is needed, though: a sample cuts the order into slices and the rows per
+    slice are counted, again and again for those slices that hold a wanted row,
+    until they are small enough to be sorted.  The bucket is then a search among
+    ``n - 1`` fixed rows, so no row of ``df`` is shuffled.  All orders share the
+    passes over ``df``, which should therefore be a stored table.
     """
     total = df.count()
     # Rank of the last row of each bucket but the final one: the first
@@ -40,33 +40,52 @@ def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]],
 
     at = [sort_tuple(df, order) for order in orders.values()]
     kinds = [f.dataType for f in df.select(*[a.alias(f"at{i}") for i, a in enumerate(at)]).schema]
-    slices = min(-(-total // rows_per_slice), NTILE_SLICES)
-    if slices == 1:
-        pieces, counts = [F.lit(0)] * len(at), [{0: total}] * len(at)
-    else:
-        pieces = _pieces(df, at, kinds, total, slices)
-        counts = _slice_counts(df, pieces)
-    last = _last_rows(df, at, pieces, counts, ends)
-    return df.withColumns({
-        name: place([literal_tuple(r, kinds[i]) for r in last[i]], at[i]) + 1
-        for i, name in enumerate(orders)
-    })
-
-
-def _pieces(df: DataFrame, at: Sequence[Column], kinds: Sequence[T.StructType], total: int,
-            slices: int) -> list[Column]:
-    """The slice a row falls into, per order.  The sample is bounded, whatever the table's size."""
-    sample = (
-        df.select(*[a.alias(f"at{i}") for i, a in enumerate(at)])
-        .sample(fraction=min(1.0, slices * NTILE_SAMPLE_PER_SLICE / total), seed=17)
-        .agg(*[F.sort_array(F.collect_list(f"at{i}")) for i in range(len(at))])
-        .first()
+    cuts: list[list] = [[] for _ in at]
+    counts = [{0: total} for _ in at]
+    while True:
+        pieces = [among(c, kind, a) for c, kind, a in zip(cuts, kinds, at, strict=True)]
+        wanted = _wanted(counts, ends)
+        large = {(i, s) for i, s, _ in wanted if counts[i][s] > rows_per_slice}
+        if not large:
+            break
+        cuts = _more_cuts(df, at, pieces, cuts, large, counts)
+        counts = _slice_counts(df, [among(c, kind, a) for c, kind, a in zip(cuts, kinds, at, strict=True)])
+    last = _last_rows(df, at, pieces, counts, wanted)
+    return df.withColumns({name: among(last[i], kinds[i], at[i]) + 1 for i, name in enumerate(orders)})
+
+
+def _wanted(counts: Sequence[Mapping[int, int]], ends: Sequence[int]) -> list[tuple[int, int, int]]:
+    """Per order the slice of each rank in ``ends``, and the rank inside it."""
+    wanted = []
+    for i, rows_in in enumerate(counts):
+        before = 0
+        left = iter(ends)
+        end = next(left, None)
+        for s in sorted(rows_in):
+            while end is not None and end <= before + rows_in[s]:
+                wanted.append((i, s, end - before))
+                end = next(left, None)
+            before += rows_in[s]
+    return wanted
+
+
+def _more_cuts(df: DataFrame, at: Sequence[Column], pieces: Sequence[Column], cuts: Sequence[list],
+               large: set[tuple[int, int]], counts: Sequence[Mapping[int, int]]) -> list[list]:
+    """``cuts`` with further ones inside the ``large`` slices, from a sample of fixed size."""
+    rows = sum(counts[i][s] for i, s in large)
+    found = (
+        df.select(_each(pieces), *[a.alias(f"at{i}") for i, a in enumerate(at)])
+        .where(_in_slices(large, counts))
+        .sample(fraction=min(1.0, NTILE_CUTS_PER_PASS / rows), seed=17 + sum(map(len, cuts)))
+        .select("p.i", *[F.when(F.col("p.i") == i, F.col(f"at{i}")).alias(f"at{i}") for i in range(len(at))])
+        .collect()
     )
-    step = max(1, len(sample[0]) // slices)
-    pieces = []
-    for a, kind, values in zip(at, kinds, sample, strict=True):
-        pieces.append(place([literal_tuple(r, kind) for r in values[step::step]], a))
-    return pieces
+    more = [list(c) for c in cuts]
+    for r in found:
+        more[r["i"]].append(tuple(r[f"at{r['i']}"]))
+    # Nulls come first, as in Spark.
+    key = lambda t: [(v is not None, v if v is not None else 0) for v in t]
+    return [sorted(set(c), key=key) for c in more]
 
 
 def _each(pieces: Sequence[Column]) -> Column:
@@ -84,34 +103,33 @@ def _slice_counts(df: DataFrame, pieces: Sequence[Column]) -> list[dict[int, int
 
 
 def _last_rows(df: DataFrame, at: Sequence[Column], pieces: Sequence[Column],
-               counts: Sequence[Mapping[int, int]], ends: Sequence[int]) -> list[list]:
-    """Per order, the rows at the ranks ``ends``."""
-    wanted = []
-    for i, rows_in in enumerate(counts):
-        before = 0
-        for s in sorted(rows_in):
-            wanted += [(i, s, e - before) for e in ends if before < e <= before + rows_in[s]]
-            before += rows_in[s]
-
+               counts: Sequence[Mapping[int, int]], wanted: Sequence[tuple[int, int, int]]) -> list[list]:
+    """Per order, the rows at the ``wanted`` ranks of the slices."""
+    ranks = [[[] for _ in range(max(c) + 1)] for c in counts]
+    for i, s, rank in wanted:
+        ranks[i][s].append(rank)
     # Rows of a slice are compared by their own order; the other orders are null.
     own = [F.when(F.col("p.i") == i, F.col(f"at{i}")).alias(f"at{i}") for i in range(len(at))]
     w = Window.partitionBy("i", "s").orderBy(*[f"at{i}" for i in range(len(at))])
     found = (
         df.select(_each(pieces), *[a.alias(f"at{i}") for i, a in enumerate(at)])
-        .where(F.col("p").isin(*_literals({(i, s) for i, s, _ in wanted})))
+        .where(_in_slices({(i, s) for i, s, _ in wanted}, counts))
         .select("p.i", "p.s", *own)
         .withColumn("rank", F.row_number().over(w))
-        .where(F.struct("i", "s", "rank").isin(*_literals(wanted)))
+        .where(F.array_contains(F.get(F.get(constant(ranks, T.ArrayType(T.ArrayType(T.ArrayType(T.IntegerType())))), F.col("i")), F.col("s")), F.col("rank")))
         .collect()
     )
     last: list[list] = [[] for _ in at]
     for r in sorted(found, key=lambda r: (r["i"], r["s"], r["rank"])):
-        last[r["i"]].append(r[f"at{r['i']}"])
+        last[r["i"]].append(tuple(r[f"at{r['i']}"]))
     return last
 
 
-def _literals(tuples) -> list[Column]:
-    return [F.struct(*[F.lit(v) for v in t]) for t in sorted(tuples)]
+def _in_slices(which: set[tuple[int, int]], counts: Sequence[Mapping[int, int]]) -> Column:
+    """Whether the row ``p`` lies in one of these slices."""
+    flags = [[(i, s) in which for s in range(max(c) + 1)] for i, c in enumerate(counts)]
+    at = F.get(constant(flags, T.ArrayType(T.ArrayType(T.BooleanType()))), F.col("p.i"))
+    return F.coalesce(F.get(at, F.col("p.s")), F.lit(False))
 
 
 def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], order: Sequence[str],
@@ -167,7 +185,8 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
     starts = materialise(sums.select(*by_key, "_slice", F.sum("_v").over(below).alias("_start")), "slice-starts")
     match = [sliced.rows[k].eqNullSafe(starts[a]) for k, a in zip(keys, by_key, strict=True)]
     match.append(sliced.rows[SLICE] == starts["_slice"])
-    rows = sliced.rows.join(F.broadcast(starts), match, "left").drop(*by_key, "_slice")
+    few = F.broadcast(starts) if small_enough(starts) else starts
+    rows = sliced.rows.join(few, match, "left").drop(*by_key, "_slice")
     here = F.sum(col).over(Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(*whole))
     kind = rows.select(here.alias("v")).schema["v"].dataType
     both = F.coalesce(here + F.col("_start"), here, F.col("_start"))

@@ -6,20 +6,16 @@ as ``2024-05``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from strataloom.functions.values import as_type_of
 from strataloom.operators.dedup import dedup_latest
-from strataloom.operators.joins import touched
+from strataloom.session import delete, materialise
 from strataloom.sources.lake import clustered
 
 
-# More folders than a mart should have: a century of days.
-MAX_PERIODS = 40_000
-
-
 def read_increment(df: DataFrame, cursor_col: str, last) -> DataFrame:
     """Rows past the stored cursor.
 
@@ -40,12 +36,11 @@ def rebuild_period(df: DataFrame, path: str, part: str, sort_cols: Sequence[str]
     )
 
 
-def drop_periods(spark: SparkSession, path: str, part: str, periods: Sequence[str]) -> None:
-    """Delete whole periods.  An overwrite cannot: it only replaces what has rows."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+def drop_periods(spark: SparkSession, path: str, part: str, periods: Iterable[str | None]) -> None:
+    """Delete whole periods, as far as they exist.  An overwrite cannot: it only replaces what has rows."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     for period in periods:
-        fs.delete(hadoop(f"{path}/{part}={period}"), True)
+        delete(spark, f"{path}/{names.getPartitionPathString(part, period)}")
 
 
 def refresh_mart(path: str, facts: DataFrame, changed: Sequence[DataFrame], part: str,
@@ -54,43 +49,43 @@ def refresh_mart(path: str, facts: DataFrame, changed: Sequence[DataFrame], part
 
     ``facts`` and each frame of ``changed`` carry the period column ``part``, and
     ``build`` keeps it.  Pass changed rows as they were *and* as they are: a row
-    that moved to another period touches both.
+    that moved to another period touches both.  Null is a period of its own; empty
+    text counts as null, as a folder cannot tell them apart.  A period without rows
+    in the new result is deleted.  Until then a reader sees its old rows beside the
+    new ones of other periods: each period changes as a whole, all of them do not
+    change at once.
     """
+    spark = facts.sparkSession
+    period = F.nullif(F.col(part), F.lit(""))
     periods = changed[0].select(part)
     for more in changed[1:]:
         periods = periods.unionByName(more.select(part))
-    # The periods of a calendar are few, however many rows changed.  As literals
-    # they prune the partitions of the facts.
-    names = _few(periods, part)
-    if not names:
+    periods = materialise(periods.select(period.alias(part)).distinct(), "touched-periods")
+    low, high, null = periods.agg(F.min(part), F.max(part), F.count_if(F.col(part).isNull())).first()
+    if low is None and not null:
         return
-    hit = facts.where(F.col(part).isin(names))
-    rebuild_period(build(hit), path, part)
-    left = set(_few(hit.select(part), part))
-    drop_periods(facts.sparkSession, path, part, [p for p in names if p not in left])
-
-
-def _few(df: DataFrame, part: str) -> list[str]:
-    found = df.where(F.col(part).isNotNull()).distinct().limit(MAX_PERIODS + 1).collect()
-    if len(found) > MAX_PERIODS:
-        raise ValueError(f"{part} has more than {MAX_PERIODS} values; use a coarser period")
-    return sorted(r[0] for r in found)
+    # The range of the periods prunes the folders of the facts, the join does the rest.
+    reach = F.lit(False) if low is None else F.col(part).between(low, high)
+    if null:
+        reach = reach | F.col(part).isNull() | (F.col(part) == "")
+    of = periods.select(F.col(part).alias("_period"))
+    hit = facts.where(reach).join(of, period.eqNullSafe(F.col("_period")), "left_semi")
+    built = materialise(build(hit), "built-periods")
+    built = built.withColumn(part, period)
+    rebuild_period(built, path, part)
+    there = built.select(F.col(part).alias("_period")).distinct()
+    gone = periods.join(there, F.col(part).eqNullSafe(F.col("_period")), "left_anti")
+    drop_periods(spark, path, part, (r[0] for r in gone.toLocalIterator()))
 
 
 def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``current`` with the newest version of each changed key; ``changes`` win ties.
 
-    Only rows with a changed key are compared.  While the changed keys are few
-    they are broadcast and the rest of ``current`` is not shuffled at all.  Write
-    the result to a new path: the current one is still being read.
+    ``current`` has one row per key, and is shuffled once.  Write the result to a new
+    path: the current one is still being read.
     """
-    changed_keys = changes.select(*keys).distinct()
-    candidates = touched(current, changed_keys, keys).withColumn("_newer", F.lit(0)).unionByName(
-        changes.withColumn("_newer", F.lit(1))
-    )
-    winners = dedup_latest(candidates, keys, [*order, "_newer"]).drop("_newer")
-    untouched = current.join(changed_keys, list(keys), "left_anti")
-    return untouched.unionByName(winners)
+    both = current.withColumn("_newer", F.lit(0)).unionByName(changes.withColumn("_newer", F.lit(1)))
+    return dedup_latest(both, keys, [*order, "_newer"]).drop("_newer")
 
 
 def _journal(source: str, cursor: str) -> list[Column]:

@@ -20,6 +20,9 @@ from strataloom.session import materialise
 # Payout rate below each average rating; None is the rest.
 PAYOUT_TIERS: tuple[tuple[float | None, str], ...] = ((20, "0.05"), (30, "0.07"), (None, "0.09"))
 
+# Ratings are no money: exact to a millionth, so that their sum does not depend on order.
+RATING = "decimal(18,6)"
+
 # Actions counted in the activity mart.
 ACTIONS = ("click", "error", "purchase", "signup", "view")
 
@@ -65,7 +68,7 @@ def courier_payout(facts: DataFrame, tiers: Sequence[tuple[float | None, str]] =
     per_month = facts.groupBy("courier_id", first_day).agg(
         F.count("*").alias("deliveries"),
         money_sum(facts, "amount").alias("gross"),
-        money_sum(facts, "rating").alias("ratings"),
+        F.sum(F.col("rating").try_cast(RATING)).alias("ratings"),
     )
     rated = per_month.select(
         "courier_id", month("first_day").alias("month"), "deliveries", "gross",

@@ -15,7 +15,7 @@ def _money(c: str) -> str:
 
 
 def _money_sum(c: str) -> str:
-    return f"sum({_money(c)})::DOUBLE"
+    return f"sum({_money(c)})::VARCHAR"
 
 
 ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
@@ -38,13 +38,13 @@ WHERE prev IS NULL OR prev <> event_type
 """
 
 PAYOUT = f"""
-SELECT courier_id, month, deliveries, gross::DOUBLE AS gross, avg_rating, rate::DOUBLE AS rate,
-       round(gross * rate, 2)::DOUBLE AS payout
+SELECT courier_id, month, deliveries, gross::VARCHAR AS gross, avg_rating, rate::VARCHAR AS rate,
+       round(gross * rate, 2)::DECIMAL(28,2)::VARCHAR AS payout
 FROM (SELECT *, CASE WHEN avg_rating < 20 THEN 0.05::DECIMAL(4,2) WHEN avg_rating < 30
              THEN 0.07::DECIMAL(4,2) ELSE 0.09::DECIMAL(4,2) END AS rate
       FROM (SELECT l_suppkey AS courier_id, strftime(l_shipdate, '%Y-%m') AS month,
                    count(*) AS deliveries, sum({_money('l_extendedprice')}) AS gross,
-                   sum({_money('l_quantity')})::DOUBLE / count(*) AS avg_rating
+                   sum(l_quantity::DECIMAL(18,6))::DOUBLE / count(*) AS avg_rating
             FROM lineitem GROUP BY ALL))
 """
 
@@ -88,41 +88,62 @@ _KEYS = "(SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)"
 _ORDER_KEYS = "(SELECT count(*) AS n FROM orders GROUP BY o_orderkey)"
 _HASH_LOAD = f"CASE WHEN first_at < TIMESTAMP '{ORDERS_CUT}' THEN TIMESTAMP '{LOADED_AT[0]}' ELSE TIMESTAMP '{LOADED_AT[1]}' END"
 
+QUARANTINE = """
+        SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, o_orderkey, o_custkey, o_orderdate,
+               c_custkey, c_acctbal,
+               nullif(concat_ws(';', CASE WHEN c_acctbal < 0 THEN 'range:c_acctbal' END,
+                      CASE WHEN l_shipdate < o_orderdate THEN 'order:o_orderdate,l_shipdate' END), '') AS reason
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
+
 SQL: dict[str, str] = {
     "lake_read": "SELECT * FROM orders",
-    "landed_pages_flatten": "SELECT * FROM orders",
+    "landed_pages_flatten": "SELECT * FROM orders WHERE (o_orderkey // 100) % 7 NOT IN (3, 5)",
+    "landed_pages_rejected": "SELECT DISTINCT o_orderkey // 100 AS page FROM orders WHERE (o_orderkey // 100) % 7 = 3",
     "documents_flatten": """
-        SELECT conv_id, turn, role, (pos - 1)::INTEGER AS pos, line
+        WITH docs AS (SELECT *, turn % 7 = 6 AS broken FROM conversations)
+        SELECT conv_id, turn, role, role || '!' AS title, (pos - 1)::INTEGER AS pos, line, NULL::VARCHAR AS rejected
         FROM (SELECT conv_id, turn, role, unnest(string_split(text, chr(10))) AS line,
-                     generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM conversations)""",
-    "json_props": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events",
+                     generate_subscripts(string_split(text, chr(10)), 1) AS pos
+              FROM docs WHERE NOT broken AND role <> 'system')
+        UNION ALL SELECT conv_id, turn, role, role || '!', NULL, NULL, NULL FROM docs WHERE NOT broken AND role = 'system'
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{' FROM docs WHERE broken""",
+    "json_props": """
+        SELECT event_id, CASE WHEN event_type <> 'error' THEN json_extract(props, '$.k')::BIGINT END AS k,
+               CASE WHEN event_type = 'error' THEN 'oops' END AS rejected FROM events""",
     "cold_to_columnar": "SELECT *, strftime(l_shipdate, '%Y-%m') AS ship_month FROM lineitem",
-    "kafka_encode": "SELECT * FROM events",
+    "kafka_encode": """
+        SELECT '{"event_id":' || event_id || ',"user_id":' || user_id || '}' AS key,
+               '{"event_id":' || event_id || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '","user_id":' || user_id
+               || ',"event_type":"' || event_type || '","value":' || round(value * 100)::BIGINT
+               || coalesce(',"props":' || to_json(props)::VARCHAR, '') || '}' AS value
+        FROM events""",
+    "kafka_round_trip": "SELECT * FROM events",
     "staging_load": f"""
         SELECT {', '.join(f'{c}::VARCHAR AS {c}' for c in ORDERS)}, 'orders' AS source,
                TIMESTAMP '{LOADED_AT[0]}' AS load_ts, {_digest(*ORDERS)} AS row_hash
         FROM orders""",
     "core_typed": f"""
         SELECT o_orderkey, o_custkey, nullif(trim(o_orderstatus), '') AS o_orderstatus,
-               {_money('o_totalprice')}::DOUBLE AS o_totalprice, o_orderdate,
+               {_money('o_totalprice')}::VARCHAR AS o_totalprice, o_orderdate,
                coalesce(nullif(trim(o_orderpriority), ''), '5-LOW') AS o_orderpriority
         FROM orders""",
     "dim_build": f"""
         SELECT {_digest('p_partkey')} AS part_sk, p_partkey, {PART_ATTRS}
         FROM (SELECT part.*, row_number() OVER (PARTITION BY p_partkey
                      ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
-              FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE rn = 1""",
+              FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE rn = 1
+        UNION ALL SELECT '-1', NULL, NULL, NULL, NULL, NULL, NULL""",
     "fact_build": f"""
         SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate,
-               CASE WHEN p_partkey IS NULL THEN '-1' ELSE {_digest('p_partkey')} END AS part_sk
-        FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size <= 25) ON l_partkey = p_partkey""",
+               CASE WHEN p_partkey IS NULL THEN '-1' ELSE {_digest('p_partkey')} END AS part_sk, p_partkey, p_brand
+        FROM lineitem LEFT JOIN (SELECT p_partkey, p_brand FROM part WHERE p_size <= 25) ON l_partkey = p_partkey""",
     "model_split": f"""
         SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate,
                {_digest('c_custkey')} AS customer_sk, {_digest('n_nationkey')} AS nation_sk
         FROM ({WIDE})""",
     "model_split_sizes": f"""
-        SELECT 'customer' AS table_name, count(DISTINCT c_custkey) AS n_rows FROM ({WIDE})
-        UNION ALL SELECT 'nation', count(DISTINCT n_nationkey) FROM ({WIDE})
+        SELECT 'customer' AS table_name, count(DISTINCT c_custkey) + 1 AS n_rows FROM ({WIDE})
+        UNION ALL SELECT 'nation', count(DISTINCT n_nationkey) + 1 FROM ({WIDE})
         UNION ALL SELECT 'fact', count(*) FROM ({WIDE})""",
     "compat_view": WIDE,
     "vault_hub": f"""
@@ -177,7 +198,7 @@ SQL: dict[str, str] = {
         SELECT token, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS token FROM documents)
         WHERE token <> '' GROUP BY token""",
     "ntile_global": f"""
-        SELECT o_custkey, total::DOUBLE AS total, ntile(5) OVER (ORDER BY total, o_custkey)::INTEGER AS bucket
+        SELECT o_custkey, total::VARCHAR AS total, ntile(5) OVER (ORDER BY total, o_custkey)::INTEGER AS bucket
         FROM ({SPEND})""",
     "lag_change": """
         SELECT * EXCLUDE (prev) FROM
@@ -185,10 +206,10 @@ SQL: dict[str, str] = {
         WHERE prev IS NULL OR prev <> event_type""",
     "running_total": f"""
         SELECT courier_id, month, payout, sum(payout::DECIMAL(18,2)) OVER (PARTITION BY courier_id
-               ORDER BY month ROWS UNBOUNDED PRECEDING)::DOUBLE AS paid_so_far
+               ORDER BY month ROWS UNBOUNDED PRECEDING)::VARCHAR AS paid_so_far
         FROM ({PAYOUT})""",
     "top_k": f"""
-        SELECT s.o_custkey, s.total::DOUBLE AS total FROM ({SPEND}) s
+        SELECT s.o_custkey, s.total::VARCHAR AS total FROM ({SPEND}) s
         ORDER BY s.total DESC, s.o_custkey LIMIT 25""",
     "union_sources": "SELECT * FROM orders",
     "except_recon": f"""
@@ -196,7 +217,7 @@ SQL: dict[str, str] = {
              core AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'P'
                              THEN round(o_totalprice, 0) ELSE o_totalprice END::DECIMAL(18,2) AS price
                       FROM orders WHERE o_orderpriority <> '1-URGENT')
-        SELECT o_orderkey, o_orderstatus, price::DOUBLE AS price, side, count(*) AS copies FROM (
+        SELECT o_orderkey, o_orderstatus, price::VARCHAR AS price, side, count(*) AS copies FROM (
             SELECT *, 'left' AS side FROM (SELECT * FROM staged EXCEPT ALL SELECT * FROM core)
             UNION ALL
             SELECT *, 'right' AS side FROM (SELECT * FROM core EXCEPT ALL SELECT * FROM staged))
@@ -220,7 +241,7 @@ SQL: dict[str, str] = {
                    coalesce(sum({_money('o_totalprice')}), 0) AS total
             FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON c_custkey = o_custkey
             GROUP BY c_custkey)
-        SELECT user_id, last_order, n_orders, total::DOUBLE AS total,
+        SELECT user_id, last_order, n_orders, total::VARCHAR AS total,
                ntile(5) OVER (ORDER BY last_order NULLS FIRST, user_id)::INTEGER AS recency,
                ntile(5) OVER (ORDER BY n_orders, user_id)::INTEGER AS frequency,
                ntile(5) OVER (ORDER BY base.total, user_id)::INTEGER AS monetary
@@ -243,8 +264,8 @@ SQL: dict[str, str] = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
         GROUP BY ALL""",
     "dashboard_kpi": f"""
-        SELECT day, region, orders, cents / 100 AS revenue, customers,
-               ((2 * cents + orders) // (2 * orders)) / 100 AS avg_check
+        SELECT day, region, orders, (cents::DECIMAL(28,0) * 0.01::DECIMAL(3,2))::DECIMAL(28,2)::VARCHAR AS revenue, customers,
+               (((2 * cents + orders) // (2 * orders))::DECIMAL(28,0) * 0.01::DECIMAL(3,2))::DECIMAL(28,2)::VARCHAR AS avg_check
         FROM (SELECT o_orderdate::DATE::VARCHAR AS day, r_name AS region, count(*) AS orders,
                      (sum({_money('o_totalprice')}) * 100)::BIGINT AS cents,
                      count(DISTINCT o_custkey) AS customers
@@ -255,7 +276,13 @@ SQL: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice ELSE 0.0 END::DOUBLE
                           AS o_totalprice), strftime(o_orderdate, '%Y-%m') AS month
         FROM orders""",
-    "mart_refresh": TURNOVER,
+    "mart_refresh": f"""
+        SELECT day::DATE::VARCHAR AS day, o_orderstatus AS status, {_money_sum('o_totalprice')} AS amount,
+               count(*) AS operations, count(DISTINCT o_custkey) AS accounts,
+               count(*) / count(DISTINCT o_custkey) AS operations_per_account
+        FROM (SELECT *, CASE WHEN o_orderpriority <> '2-HIGH' THEN o_orderdate END AS day FROM orders
+              WHERE o_totalprice >= 50000)
+        GROUP BY day::DATE, o_orderstatus""",
     "upsert": """
         SELECT * REPLACE (CASE WHEN c_acctbal < 0 THEN 0.0 ELSE c_acctbal END::DOUBLE AS c_acctbal),
                CASE WHEN c_acctbal < 0 THEN 2 ELSE 1 END AS version FROM customer
@@ -310,10 +337,6 @@ SQL: dict[str, str] = {
         "count(*) FILTER (WHERE l_shipdate < o_orderdate)", "count(*)",
         "lineitem JOIN orders ON l_orderkey = o_orderkey",
     ),
-    "dq_quarantine": """
-        SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, o_orderkey, o_custkey, o_orderdate,
-               c_custkey, c_acctbal,
-               nullif(concat_ws(';', CASE WHEN c_acctbal < 0 THEN 'range:c_acctbal' END,
-                      CASE WHEN l_shipdate < o_orderdate THEN 'order:o_orderdate,l_shipdate' END), '') AS reason
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
+    "dq_quarantine": QUARANTINE,
+    "dq_quarantine_split": f"SELECT *, CASE WHEN reason IS NULL THEN 'good' ELSE 'rejected' END AS part FROM ({QUARANTINE})",
 }

@@ -9,12 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from strataloom.functions.values import MONEY, MONEY_SUM, money, money_sum
 from strataloom.operators import aggregates, dedup, filters, joins, model, quality, sets, vault, windows
 from strataloom.plans import incremental, marts
-from strataloom.session import materialise, scratch_path, size_for, tune
+from strataloom.session import materialise, own_session, scratch_path, size_for
 from strataloom.sources import lake, messages, payloads
 from strataloom.streaming import streams
 
@@ -24,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ORDERS_CUT = "1998-07-15"
 TURNOVER_CUT = "2000-03-15"
 EVENTS_CUT = "2024-01-16"
+LANDED_AT = ("2024-01-11", "2024-01-21")
 LOADED_AT = ("2024-02-01 00:00:00", "2024-02-02 00:00:00")
 
 REGISTRY: dict[str, Query] = {}
@@ -45,12 +46,12 @@ class Lake:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Exact decimals as doubles and dates as text, which every engine shows alike."""
+    """Exact decimals and dates as text, which every engine shows alike."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            c = c.cast("string")
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         cols.append(c.alias(f.name))
@@ -58,7 +59,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def query(fn: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
-    REGISTRY[fn.__name__] = lambda spark, root: comparable(fn(Lake(tune(spark), root)))
+    REGISTRY[fn.__name__] = lambda spark, root: comparable(fn(Lake(own_session(spark), root)))
     return fn
 
 
@@ -82,10 +83,12 @@ def deliveries(t: Lake) -> DataFrame:
     )
 
 
-def account_orders(t: Lake) -> DataFrame:
+def account_orders(t: Lake, ordered_at: Column | None = None) -> DataFrame:
+    at = F.col("o_orderdate") if ordered_at is None else ordered_at
     return t.orders.select(
-        F.col("o_custkey").alias("account_id"), F.col("o_orderdate").alias("ordered_at"),
+        F.col("o_custkey").alias("account_id"), at.alias("ordered_at"),
         F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("amount"),
+        "o_orderdate", "o_orderpriority",
     )
 
 
@@ -118,13 +121,24 @@ EVENT_SPEC = {
 def land_events(t: Lake, events: DataFrame, label: str) -> str:
     """``events`` as a folder of messages, the stand-in for a broker's topic."""
     path = t.scratch(label)
-    encoded = messages.encode_messages(events, ["event_id"])
-    encoded.withColumn("timestamp", F.lit(LOADED_AT[0]).cast("timestamp")).write.parquet(path)
+    # In three steps of time, as a topic grows: no row lies behind the watermark.
+    step = F.when(F.col("ts") >= F.lit(LANDED_AT[1]).cast("timestamp_ntz"), 2).when(
+        F.col("ts") >= F.lit(LANDED_AT[0]).cast("timestamp_ntz"), 1).otherwise(0)
+    for k in range(3):
+        encoded = messages.encode_messages(events.where(step == k), ["event_id"])
+        landed = encoded.withColumn("timestamp", F.lit(LOADED_AT[0]).cast("timestamp"))
+        landed.repartition(files_a_step(t)).write.mode("append").parquet(path)
     return path
 
 
+def files_a_step(t: Lake) -> int:
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def event_stream(t: Lake, path: str) -> DataFrame:
-    return streams.read_stream(t.spark, "parquet", {"path": path}, t.events.schema).drop("timestamp")
+    # A micro-batch for each step that landed.
+    options = {"path": path, "maxFilesPerTrigger": str(files_a_step(t))}
+    return streams.read_stream(t.spark, "parquet", options, t.events.schema).drop("timestamp")
 
 
 def run_to_end(t: Lake, stream: DataFrame, label: str, checkpoint: str | None = None):
@@ -151,31 +165,46 @@ def lake_read(t: Lake) -> DataFrame:
     return t.orders
 
 
-@query
-def landed_pages_flatten(t: Lake) -> DataFrame:
-    # Pages of at most 100 records each, whatever the keys look like.
-    orders = t.orders
-    page = F.expr("monotonically_increasing_id() div 100")
-    record = F.struct(*orders.columns)
-    landed = orders.select(page.alias("page"), record.alias("r")).groupBy("page").agg(
+def landed_pages(t: Lake) -> DataFrame:
+    """Pages of up to 100 order numbers; one in seven is cut off before its end, one empty."""
+    page = F.expr("o_orderkey div 100")
+    landed = t.orders.select(page.alias("page"), F.struct(*t.orders.columns).alias("r")).groupBy("page").agg(
         F.to_json(F.collect_list("r"), payloads.JSON_TIMES).alias("payload")
     )
-    return payloads.flatten_pages(landed, "payload", orders.schema)
+    kind = F.pmod("page", F.lit(7))
+    cut = F.expr("substr(payload, 1, length(payload) - 5)")
+    return landed.withColumn("payload", F.when(kind == 3, cut).when(kind == 5, F.lit("[]")).otherwise(F.col("payload")))
+
+
+@query
+def landed_pages_flatten(t: Lake) -> DataFrame:
+    return payloads.flatten_pages(landed_pages(t), "payload", t.orders.schema)
+
+
+@query
+def landed_pages_rejected(t: Lake) -> DataFrame:
+    return payloads.rejected_pages(landed_pages(t), "payload", t.orders.schema).select("page")
 
 
 @query
 def documents_flatten(t: Lake) -> DataFrame:
-    # One document per turn, holding its text as a nested array of lines.
-    lines = F.transform(F.split("text", "\n"), lambda s: F.struct(s.alias("line")))
-    doc = F.to_json(F.struct("conv_id", "turn", "role", F.struct(lines.alias("lines")).alias("body")))
-    schema = "conv_id bigint, turn bigint, role string, body struct<lines: array<struct<line: string>>>"
-    docs = payloads.extract_json(t.conversations.select(doc.alias("doc")), "doc", schema)
-    return payloads.flatten_docs(docs, "body.lines")
+    # One document per turn, holding its text as a nested array of lines beside a
+    # title; the system's turns have no lines, and every seventh text is broken.
+    lines = F.when(F.col("role") == "system", F.array().cast("array<struct<line:string>>")).otherwise(
+        F.transform(F.split("text", "\n"), lambda s: F.struct(s.alias("line"))))
+    body = F.struct(F.concat("role", F.lit("!")).alias("title"), lines.alias("lines"))
+    doc = F.to_json(F.struct("conv_id", "turn", "role", body.alias("body")))
+    broken = F.when(F.pmod("turn", F.lit(7)) == 6, F.lit("{")).otherwise(doc)
+    schema = "conv_id bigint, turn bigint, role string, body struct<title: string, lines: array<struct<line: string>>>"
+    docs = payloads.extract_json(t.conversations.select(broken.alias("doc")), "doc", schema, "rejected")
+    flat = payloads.flatten_docs(docs, "body.lines", outer=True)
+    return flat.select("conv_id", "turn", "role", F.col("body.title").alias("title"), "pos", "line", "rejected")
 
 
 @query
 def json_props(t: Lake) -> DataFrame:
-    return payloads.extract_json(t.events.select("event_id", "props"), "props", "k bigint")
+    props = F.when(F.col("event_type") == "error", F.lit("oops")).otherwise(F.col("props"))
+    return payloads.extract_json(t.events.select("event_id", props.alias("props")), "props", "k bigint", "rejected")
 
 
 @query
@@ -186,6 +215,13 @@ def cold_to_columnar(t: Lake) -> DataFrame:
 
 @query
 def kafka_encode(t: Lake) -> DataFrame:
+    # A double's text differs between engines, so the value goes as a whole number.
+    events = t.events.withColumn("value", F.round(F.col("value") * 100).cast("bigint"))
+    return messages.encode_messages(events, ["event_id", "user_id"])
+
+
+@query
+def kafka_round_trip(t: Lake) -> DataFrame:
     encoded = messages.encode_messages(t.events, ["event_id"])
     return messages.decode_messages(encoded, t.events.schema)
 
@@ -229,7 +265,9 @@ def fact_build(t: Lake) -> DataFrame:
     known = t.part.where("p_size <= 25")
     dim = model.build_dim(known, "p_partkey", PART_ATTRS, ["p_name"], "part_sk")
     keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    return model.build_fact(t.lineitem, [(dim, "l_partkey", "p_partkey", "part_sk")], keep)
+    fact = model.build_fact(t.lineitem, [(dim, "l_partkey", "p_partkey", "part_sk")], keep)
+    # Joined with its dimension again, the fact keeps all its rows.
+    return fact.join(dim.select("part_sk", "p_partkey", "p_brand"), "part_sk")
 
 
 @query
@@ -258,8 +296,8 @@ def compat_view(t: Lake) -> DataFrame:
 
 
 def order_batches(t: Lake) -> list[DataFrame]:
-    cut = F.lit(ORDERS_CUT).cast("timestamp_ntz")
-    return [t.orders.where(F.col("o_orderdate") < cut), t.orders.where(F.col("o_orderdate") >= cut)]
+    later = F.coalesce(F.col("o_orderdate") >= F.lit(ORDERS_CUT).cast("timestamp_ntz"), F.lit(False))
+    return [t.orders.where(~later), t.orders.where(later)]
 
 
 @query
@@ -281,13 +319,13 @@ def vault_link(t: Lake) -> DataFrame:
 
 
 def event_satellite(t: Lake) -> DataFrame:
-    cut = F.lit(EVENTS_CUT).cast("timestamp_ntz")
+    later = F.coalesce(F.col("ts") >= F.lit(EVENTS_CUT).cast("timestamp_ntz"), F.lit(False))
     args = ("user_id", "user_hk", ["event_type"], ["ts", "event_id"])
-    first = vault.load_satellite(None, t.events.where(F.col("ts") < cut), *args)
+    first = vault.load_satellite(None, t.events.where(~later), *args)
     path = t.scratch("satellite")
     first.write.parquet(path)
     stored = t.spark.read.schema(first.schema).parquet(path)
-    second = vault.load_satellite(stored, t.events.where(F.col("ts") >= cut), *args)
+    second = vault.load_satellite(stored, t.events.where(later), *args)
     return stored.unionByName(second)
 
 
@@ -492,19 +530,26 @@ def stream_late(t: Lake) -> DataFrame:
     path = land_events(t, t.events.where(F.col("ts") >= cut), "topic")
     checkpoint, out = t.scratch("late-checkpoint"), t.scratch("late")
 
+    late = streams.LateRows(t.spark, t.scratch("late-rows"))
+
     def run():
         once = streams.dedup_stream(event_stream(t, path), ["event_id"], "ts", "1 hour")
         q = (once.writeStream.format("parquet").option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start(out))
         q.awaitTermination()
-        return q
-
-    run()
-    older = messages.encode_messages(t.events.where(F.col("ts") < cut), ["event_id"])
-    older.withColumn("timestamp", F.lit(LOADED_AT[1]).cast("timestamp")).write.mode("append").parquet(path)
-    late = streams.late_rows(run())
+        late.settle()
+
+    t.spark.streams.addListener(late)
+    try:
+        run()
+        older = messages.encode_messages(t.events.where(F.col("ts") < cut), ["event_id"])
+        older.withColumn("timestamp", F.lit(LOADED_AT[1]).cast("timestamp")).write.mode("append").parquet(path)
+        run()
+    finally:
+        t.spark.streams.removeListener(late)
+    dropped = late.counted().agg(F.coalesce(F.sum("dropped"), F.lit(0))).first()[0]
     kept = t.spark.read.parquet(out)
-    return kept.groupBy("event_type").agg(F.count("*").alias("kept")).withColumn("late_in_all", F.lit(late).cast("bigint"))
+    return kept.groupBy("event_type").agg(F.count("*").alias("kept")).withColumn("late_in_all", F.lit(dropped).cast("bigint"))
 
 
 # --- marts -------------------------------------------------------------------
@@ -565,7 +610,7 @@ def dashboard_kpi(t: Lake) -> DataFrame:
 
 @query
 def daily_turnover(t: Lake) -> DataFrame:
-    return marts.daily_turnover(account_orders(t))
+    return marts.daily_turnover(account_orders(t).drop("o_orderdate", "o_orderpriority"))
 
 
 # --- incremental -------------------------------------------------------------
@@ -589,17 +634,30 @@ def period_rebuild(t: Lake) -> DataFrame:
 
 @query
 def mart_refresh(t: Lake) -> DataFrame:
-    facts = account_orders(t).withColumn("month", marts.month("ordered_at"))
-    cut = F.lit(TURNOVER_CUT).cast("timestamp_ntz")
-    old, new = facts.where(F.col("ordered_at") < cut), facts.where(F.col("ordered_at") >= cut)
+    # Before the change urgent orders were dated a month earlier; after it high ones
+    # have no date, and orders since the cut have come in.
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    now = F.when(~high, F.col("o_orderdate"))
+    was = F.when(urgent, F.col("o_orderdate") - F.expr("INTERVAL 30 DAYS")).otherwise(F.col("o_orderdate"))
+    columns = ["account_id", "ordered_at", "status", "amount", "month"]
+
+    def facts(at: Column) -> DataFrame:
+        return account_orders(t, at).withColumn("month", marts.month("ordered_at"))
 
     def build(df: DataFrame) -> DataFrame:
-        return marts.daily_turnover(df).withColumn("month", marts.month("day"))
+        # Small orders do not count, so a month may lose all its rows.
+        return marts.daily_turnover(df.where("amount >= 50000")).withColumn("month", marts.month("day"))
+
+    known = F.col("o_orderdate") < F.lit(TURNOVER_CUT).cast("timestamp_ntz")
+    before = facts(was).where(known).select(*columns)
+    changed = [facts(was).where(known & (urgent | high)), facts(now).where(~known | urgent | high)]
+    # The facts are stored by month, as a warehouse has them.
+    stored = lake.load_columnar(facts(now).select(*columns), t.scratch("facts"), ["month"], ["ordered_at"])
 
     path = t.scratch("turnover")
-    incremental.rebuild_period(build(old), path, "month")
-    incremental.refresh_mart(path, facts, [new], "month", build)
-    return lake.read_columnar(t.spark, path, build(facts).schema).drop("month")
+    incremental.rebuild_period(build(before), path, "month")
+    incremental.refresh_mart(path, stored, [c.select("month") for c in changed], "month", build)
+    return lake.read_columnar(t.spark, path, build(stored).schema).drop("month")
 
 
 @query
@@ -683,11 +741,22 @@ def dq_order(t: Lake) -> DataFrame:
     return quality.run_checks(items, "lineitem_orders", [quality.in_order("o_orderdate", "l_shipdate")])
 
 
-@query
-def dq_quarantine(t: Lake) -> DataFrame:
+def items_with_faults(t: Lake) -> tuple[DataFrame, list]:
     orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     customers = t.customer.select("c_custkey", "c_acctbal")
     items = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
     wide = joins.join_dims(items, [(orders, "l_orderkey", "o_orderkey"), (customers, "o_custkey", "c_custkey")])
     rules = [quality.in_range("c_acctbal", low=0), quality.in_order("o_orderdate", "l_shipdate")]
-    return quality.with_reason(wide, rules)
+    return wide, rules
+
+
+@query
+def dq_quarantine(t: Lake) -> DataFrame:
+    return quality.with_reason(*items_with_faults(t))
+
+
+@query
+def dq_quarantine_split(t: Lake) -> DataFrame:
+    good, rejected = quality.quarantine(*items_with_faults(t))
+    return rejected.withColumn("part", F.lit("rejected")).unionByName(
+        good.withColumns({"reason": F.lit(None).cast("string"), "part": F.lit("good")}))

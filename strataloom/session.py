@@ -31,28 +31,49 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# A scan has at most this many tasks and a shuffle this many partitions: more
-# would cost the driver more in bookkeeping than smaller tasks gain.
+# Splits grow with the input up to a gigabyte, so that a scan has few hundred
+# thousand tasks; a shuffle partition takes a fixed share of the input.
 SCAN_TASKS = 200_000
-SHUFFLE_PARTITIONS = 20_000
-SHUFFLE_BYTES = 256 * 1024 * 1024
+SHUFFLE_BYTES = 512 * 1024 * 1024
 SPLIT_BYTES = (128 * 1024 * 1024, 1024 * 1024 * 1024)
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` that can be changed without changing them there."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return tune(own)
+
+
+def listed_bytes(df: DataFrame) -> int:
+    """The size of what ``df`` reads, as the optimiser knows it from the listing of files.
+
+    Of a join or an aggregate it is the size of the largest scan below, which it may
+    fall short of; of a plain table it is the size of its files.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    return max((int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())), default=0)
+
+
 def size_for(df: DataFrame) -> None:
     """Fit the session's splits and shuffles to the input ``df``; settings only grow.
 
+    Call it on a session of one's own, see ``own_session``.
+
     The size comes from the file listing.  Adaptive execution joins the shuffle
     partitions again where a stage turns out smaller, so the number is set for the
     largest stage, and only for batch queries: a stream's state keeps its own.
     """
     spark = df.sparkSession
-    nbytes = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    nbytes = listed_bytes(df)
     split = min(max(SPLIT_BYTES[0], nbytes // SCAN_TASKS), SPLIT_BYTES[1])
     name = "spark.sql.files.maxPartitionBytes"
     if split > spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)):
         spark.conf.set(name, str(split))
-    partitions = min(nbytes // SHUFFLE_BYTES, SHUFFLE_PARTITIONS)
+    partitions = nbytes // SHUFFLE_BYTES
     name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     if partitions > int(spark.conf.get(name, None) or spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(name, str(partitions))
@@ -87,7 +108,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="strataloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/strataloom/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark, root)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession, root: str) -> str:
+    return f"{root.rstrip('/')}/strataloom/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application.
+
+    Results that were not written elsewhere cannot be read any more, so call it at
+    the end of a job.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        delete(spark, _scratch_root(spark, root))
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or folder of any file system Spark knows; false if there is none."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop):
+        return False
+    if not fs.delete(hadoop, True):
+        raise OSError(f"cannot delete {path}")
+    return True
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.storagelevel import StorageLevel
 
 from strataloom.functions.values import MONEY_SUM, money_sum
 from strataloom.operators.model import to_core, to_staging
+from strataloom.session import delete
 from strataloom.sources.messages import decode_messages, encode_messages
 
 # Columns of a message, as a broker delivers them.
@@ -21,12 +24,25 @@ MESSAGE = T.StructType([
 Writer = Callable[[DataFrame, int], None]
 
 
+# What one micro-batch reads at most, unless the options say otherwise: bytes of a
+# folder of files, messages of a broker's topic.
+BATCH_BYTES = str(16 * 1024**3)
+BATCH_MESSAGES = "50000000"
+_LIMITS = {"maxbytespertrigger", "maxfilespertrigger", "maxoffsetspertrigger"}
+# Copies of each static row in a stream-static join, between which a key's rows are dealt.
+SALTS = 8
+
+
 def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.StructType,
                 corrupt: bool = False) -> DataFrame:
     """The rows inside a stream of messages, with the messages' ``timestamp``.
 
-    ``fmt`` is ``kafka``, or a file format over a folder of messages.
+    ``fmt`` is ``kafka``, or a file format over a folder of messages.  A micro-batch
+    is bounded, by ``BATCH_BYTES`` or ``BATCH_MESSAGES`` if the options have no limit.
     """
+    if not _LIMITS & {o.lower() for o in options}:
+        limit = {"maxOffsetsPerTrigger": BATCH_MESSAGES} if fmt == "kafka" else {"maxBytesPerTrigger": BATCH_BYTES}
+        options = {**options, **limit}
     reader = spark.readStream.format(fmt).options(**options)
     if fmt != "kafka":
         reader = reader.schema(MESSAGE)
@@ -44,24 +60,63 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def enrich_stream(stream: DataFrame, dim: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def enrich_stream(stream: DataFrame, dim: DataFrame, on: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Stream rows with the columns of a static table, which has one row per ``on``.
 
-    The join keeps no state.  The static side is read again by each micro-batch
-    and broadcast or shuffled by its size, as in batch.
+    The join keeps no state.  The static side is read again by each micro-batch and
+    broadcast or shuffled by its size.  Adaptive execution, which splits hot keys in
+    batch, is off in a stateful stream, so the rows of a key are dealt to ``salts``
+    copies of its static row.
     """
     if how not in ("inner", "left"):
         raise ValueError("a stream-static join is inner or left")
-    return stream.join(dim, on, how)
+    if salts == 1:
+        return stream.join(dim, on, how)
+    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = stream.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int"))
+    return dealt.join(copies, [on, "_salt"], how).drop("_salt")
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark so far, as far as the query keeps its progress."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that streams drop behind their watermarks, and keeps the counts.
+
+    Each micro-batch that drops rows writes its number to a folder of its own, by
+    stream and batch, so the count lasts beyond the driver and a batch that is told
+    of twice counts once.  Add it with ``spark.streams.addListener`` before the
+    stream starts.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        self.ended.clear()
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        if dropped:
+            row = self.spark.createDataFrame([(dropped,)], "dropped bigint")
+            row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/stream={progress.id}/batch={progress.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+    def settle(self, seconds: float = 60) -> None:
+        """Waits until a stream that has ended is fully counted."""
+        if not self.ended.wait(seconds):
+            raise TimeoutError("the stream's end was not told")
+
+    def counted(self) -> DataFrame:
+        """Rows (stream, batch, dropped)."""
+        schema = "dropped bigint, stream string, batch bigint"
+        # The folder is made by the first batch that drops rows.
+        self.spark.createDataFrame([], "dropped bigint").write.mode("append").parquet(f"{self.path}/stream=none/batch=-1")
+        return self.spark.read.schema(schema).parquet(self.path).select("stream", "batch", "dropped")
 
 
 def batch_files(path: str) -> Writer:
@@ -91,12 +146,13 @@ def write_each_batch(stream: DataFrame, writers: Sequence[Writer], checkpoint: s
     """Write each micro-batch to several targets while computing it once.
 
     Delivery is at least once, so a writer must key what it writes on the batch
-    number, as ``batch_files`` does.
+    number, as ``batch_files`` does.  Between the writers the micro-batch, which
+    ``read_stream`` bounds, lies on the executors' disks.
     """
     def fan_out(batch: DataFrame, batch_id: int) -> None:
         if len(writers) == 1:
             return writers[0](batch, batch_id)
-        batch.persist()
+        batch.persist(StorageLevel.DISK_ONLY)
         try:
             for write in writers:
                 write(batch, batch_id)
@@ -132,10 +188,44 @@ def user_counters(core: DataFrame) -> DataFrame:
     )
 
 
-def counters_view(spark: SparkSession, root: str) -> DataFrame:
-    """The mart of ``layers``, summed over its batches."""
-    parts = spark.read.parquet(f"{root}/mart")
+def _summed(parts: DataFrame) -> DataFrame:
     return parts.groupBy("user_id").agg(
         F.sum("events").alias("events"), F.sum("value").cast(MONEY_SUM).alias("value"),
         F.max("last_seen").alias("last_seen"),
     )
+
+
+def counters_view(spark: SparkSession, root: str, made: int | None = None) -> DataFrame:
+    """The mart of ``layers``, summed over its batches; ``made`` is the last ``fold_batches``."""
+    parts = spark.read.parquet(f"{root}/mart")
+    if made is not None:
+        base = spark.read.parquet(f"{root}/base/upto={made}")
+        parts = parts.where(F.col("batch_id") > made).select(*base.columns).unionByName(base)
+    return _summed(parts)
+
+
+def fold_batches(spark: SparkSession, root: str, upto: int, made: int | None = None) -> int:
+    """Sums the mart's shares of the batches up to ``upto`` into one base table.
+
+    ``made`` is what the last call returned, to be kept with the job; readers pass
+    it to ``counters_view``.  Only batches that are finished may be folded.  The base
+    goes to a folder of its own, so a fold that fails is simply run again, and readers
+    of the older base are not disturbed; ``drop_folded`` removes what is not read
+    any more.
+    """
+    start = -1 if made is None else made
+    if upto <= start:
+        return start
+    whole = spark.read.parquet(f"{root}/mart").where(F.col("batch_id").between(start + 1, upto)).drop("batch_id")
+    if made is not None:
+        whole = whole.unionByName(spark.read.parquet(f"{root}/base/upto={made}"))
+    _summed(whole).write.mode("overwrite").parquet(f"{root}/base/upto={upto}")
+    return upto
+
+
+def drop_folded(spark: SparkSession, root: str, made: int) -> None:
+    """Deletes the layers' shares of all batches that the base ``made`` holds."""
+    for layer in ("staging", "core", "mart"):
+        batches = spark.read.parquet(f"{root}/{layer}").select("batch_id").where(F.col("batch_id") <= made).distinct()
+        for r in batches.toLocalIterator():
+            delete(spark, f"{root}/{layer}/batch_id={r[0]}")

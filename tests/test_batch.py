@@ -1,6 +1,7 @@
 """Batch operators on small injected faults, repeats and round trips."""
 
 import datetime as dt
+import random
 from collections import Counter
 
 import pytest
@@ -19,6 +20,10 @@ def rows(df, *cols):
     return sorted(tuple(r) for r in df.select(*(cols or df.columns)).collect())
 
 
+def values_digest(spark, *row):
+    return spark.range(1).select(values.digest(*[F.lit(v) for v in row])).first()[0]
+
+
 def same(left, right):
     assert spark_rows(left) == spark_rows(right)
 
@@ -49,6 +54,24 @@ def test_money_sum_is_exact_for_doubles_and_decimals(spark):
     assert [str(v) for v in got] == ["100.00", "100.00"]
 
 
+def test_money_sum_is_the_sum_of_money(spark):
+    rng = random.Random(6)
+    odd = [1.005, 0.125, 2.675, 8.345, float("nan"), float("inf"), -float("inf"), 1e300, None]
+    amounts = odd + [rng.uniform(-1e6, 1e6) for _ in range(2000)] + [rng.randrange(10**9) / 1000 for _ in range(2000)]
+    df = spark.createDataFrame([(a,) for a in amounts], "d double").repartition(5)
+    got = df.agg(values.money_sum(df, "d").alias("a"), F.sum(values.money("d")).alias("b")).first()
+    assert got["a"] == got["b"] is not None
+    few = df.where("d in (1.005, 0.125, 2.675, 8.345)")
+    assert str(few.agg(values.money_sum(few, "d")).first()[0]) == "12.17"
+
+
+def test_ratings_are_not_rounded_to_cents(spark):
+    facts = spark.createDataFrame([(1, dt.datetime(2024, 1, d), 100.0, 19.996) for d in (1, 2, 3)],
+                                  "courier_id int, delivered_at timestamp_ntz, amount double, rating double")
+    row = marts.courier_payout(facts).first()
+    assert (str(row["rate"]), str(row["payout"]), row["avg_rating"]) == ("0.05", "15.00", 19.996)
+
+
 def test_money_sum_of_negative_amounts(spark):
     df = spark.createDataFrame([(-1.15,), (-0.05,), (2.3,)], "d double")
     assert str(df.agg(values.money_sum(df, "d")).first()[0]) == "1.10"
@@ -201,7 +224,7 @@ def test_fact_sends_unmatched_and_null_keys_to_the_unknown_row(spark):
 
 def test_dimension_keeps_the_newest_row(spark):
     df = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (None, "x", 3)], "k int, v string, at int")
-    assert rows(model.build_dim(df, "k", ["v"], ["at"], "sk"), "k", "v") == [(1, "new")]
+    assert rows(model.build_dim(df, "k", ["v"], ["at"], "sk"), "sk", "k", "v") == sorted([(values_digest(spark, 1), 1, "new"), ("-1", None, None)], key=str)
 
 
 # --- vault -------------------------------------------------------------------
@@ -401,3 +424,110 @@ def test_journal_line_from_the_write_itself(spark, orders):
     df, line = incremental.observed(orders, "orders", "o_orderkey")
     df.write.format("noop").mode("overwrite").save()
     assert line.get == {"rows": 15000, "lowest": 0, "highest": 14999}
+
+
+# --- a mart's refresh where periods empty, have no name, or an odd one --------
+
+def refreshed(spark, before, after, changed, keep=lambda df: df):
+    """The mart after a refresh, and a full rebuild of it."""
+    build = lambda df: keep(df).groupBy("period").agg(F.sum("v").alias("v"))
+    frame = lambda rows: spark.createDataFrame(rows, "period string, v int")
+    path = scratch_path(spark, "mart")
+    incremental.rebuild_period(build(frame(before)), path, "period")
+    incremental.refresh_mart(path, frame(after), [frame(changed)], "period", build)
+    got = spark.read.schema("v long, period string").parquet(path)
+    return rows(got, "period", "v") if not got.where("period is null").count() else Counter(map(tuple, got.select("period", "v").collect())), build(frame(after))
+
+
+def test_refresh_drops_a_period_that_the_build_filters_away(spark):
+    got, want = refreshed(spark, [("2024-01", 10), ("2024-02", 5)], [("2024-01", 0), ("2024-02", 5)], [("2024-01", 0)], lambda df: df.where("v > 0"))
+    assert got == rows(want, "period", "v") == [("2024-02", 5)]
+
+
+def test_refresh_reaches_rows_without_a_period(spark):
+    got, want = refreshed(spark, [(None, 10), ("2024-02", 5)], [(None, 99), ("2024-02", 5)], [(None, 99)])
+    assert got == Counter(map(tuple, want.collect())) == Counter([(None, 99), ("2024-02", 5)])
+    got, _ = refreshed(spark, [(None, 10), ("2024-02", 5)], [("2024-02", 5)], [(None, 10)])
+    assert got == [("2024-02", 5)]
+
+
+def test_refresh_drops_a_period_with_an_odd_name(spark):
+    got, want = refreshed(spark, [("2024/01", 10), ("a=b c%", 1), ("x", 5)], [("x", 5)], [("2024/01", 10), ("a=b c%", 1)])
+    assert got == rows(want, "period", "v") == [("x", 5)]
+
+
+def test_refresh_of_unchanged_facts_changes_nothing(spark):
+    got, want = refreshed(spark, [("a", 1)], [("a", 1), ("b", 9)], [])
+    assert got == [("a", 1)]
+
+
+def test_refresh_reads_only_the_touched_folders(spark, monkeypatch):
+    facts = lake.load_columnar(spark.range(100).select(F.concat(F.lit("p"), F.col("id") % 10).alias("period"), F.col("id").alias("v")), scratch_path(spark, "facts"), ["period"])
+    plans = []
+
+    def build(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.groupBy("period").agg(F.sum("v").alias("v"))
+
+    incremental.refresh_mart(scratch_path(spark, "mart"), facts, [facts.where("period in ('p3', 'p4')")], "period", build)
+    assert "PartitionFilters: [isnotnull(period" in plans[0] and ">= p3" in plans[0] and "<= p4" in plans[0]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_upsert_shuffles_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("version"))
+        assert exchanges(incremental.upsert(base, base.where("k < 10"), ["k"], ["version"])) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_wide_table_is_computed_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+    wide = spark.range(50).select("id", (F.col("id") % 5).alias("k"), F.lit("a").alias("attr"))
+    tables = model.split_wide(wide, {"d": model.DimSpec("k", ("attr",), "sk")})
+    for df in tables.values():
+        assert "Range" not in df._jdf.queryExecution().executedPlan().toString()
+    assert tables["d"].count() == 6 and tables["fact"].count() == 50 and calls.value == 0
+
+
+# --- landed data without silent loss -----------------------------------------
+
+def test_broken_pages_are_kept_apart(spark):
+    pages = spark.createDataFrame([(1, '[{"a":1},{"a":2}]'), (2, "[]"), (3, '[{"a":3},{"a":'), (4, None), (5, "")], "page int, payload string")
+    assert rows(payloads.flatten_pages(pages, "payload", "a int")) == [(1,), (2,)]
+    assert [r[0] for r in rows(payloads.rejected_pages(pages, "payload", "a int"), "page")] == [3, 5] or [r[0] for r in rows(payloads.rejected_pages(pages, "payload", "a int"), "page")] == [3]
+
+
+def test_documents_keep_their_other_fields(spark):
+    schema = "id int, body struct<title: string, inner: struct<n: int, lines: array<struct<id: int, line: string>>>>"
+    docs = spark.createDataFrame([(1, ("t", (7, [(5, "x"), (6, "y")]))), (2, ("u", (8, []))), (3, None)], schema)
+    inner = payloads.flatten_docs(docs, "body.inner.lines")
+    assert inner.columns == ["id", "body", "pos", "item_id", "line"]
+    got = inner.select("id", "body.title", "body.inner.n", "pos", "item_id", "line")
+    assert rows(got) == [(1, "t", 7, 0, 5, "x"), (1, "t", 7, 1, 6, "y")]
+    outer = payloads.flatten_docs(docs, "body.inner.lines", outer=True)
+    assert sorted(r["id"] for r in outer.collect()) == [1, 1, 2, 3]
+
+
+def test_broken_json_text_is_kept(spark):
+    df = spark.createDataFrame([(1, '{"k": 3}'), (2, "oops"), (3, None)], "id int, props string")
+    got = {r["id"]: (r["k"], r["bad"]) for r in payloads.extract_json(df, "props", "k int", "bad").collect()}
+    assert got == {1: (3, None), 2: (None, "oops"), 3: (None, None)}
+
+
+def test_unknown_rows_join_their_dimension(spark):
+    dim = model.build_dim(spark.createDataFrame([(1, "a", 1)], "k int, v string, at int"), "k", ["v"], ["at"], "sk")
+    facts = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "id int, k2 int")
+    fact = model.build_fact(facts, [(dim, "k2", "k", "sk")], ["id"])
+    assert rows(fact.join(dim, "sk"), "id") == [(10,), (11,), (12,)]
+
+
+def test_a_large_lookup_is_not_measured(spark, monkeypatch):
+    df = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    monkeypatch.setattr(joins, "_width", lambda f: 1 / 0)
+    assert not joins.small_enough(df, size=1000)

@@ -24,22 +24,46 @@ def test_small_input_changes_nothing(restored):
     assert restored.conf.get(SPLIT) == before and restored.conf.get(PARTITIONS, None) is None
 
 
-@pytest.mark.parametrize("tb,split_mb,partitions", [(1, 128, 4096), (100, 524, 20_000), (1000, 1024, 20_000)])
-def test_settings_grow_with_the_input(restored, tb, split_mb, partitions):
+@pytest.mark.parametrize("tb,split_mb,partitions", [(1, 128, 2048), (100, 524, 204_800), (1000, 1024, 2_048_000)])
+def test_settings_grow_with_the_input(restored, monkeypatch, tb, split_mb, partitions):
     df = restored.read.parquet(f"{SF_DIR}/orders.parquet")
-    plan = SimpleNamespace(stats=lambda: SimpleNamespace(sizeInBytes=lambda: tb * 1024**4))
-    fake = SimpleNamespace(
-        sparkSession=restored,
-        _jdf=SimpleNamespace(queryExecution=lambda: SimpleNamespace(optimizedPlan=lambda: plan)),
-    )
-    session.size_for(fake)
+    monkeypatch.setattr(session, "listed_bytes", lambda _: tb * 1024**4)
+    session.size_for(df)
     value = restored.conf.get(SPLIT)
     assert int(value.rstrip("b")) // 1024**2 == split_mb
     assert int(restored.conf.get(PARTITIONS)) == partitions
+    monkeypatch.undo()
     session.size_for(df)
     assert restored.conf.get(SPLIT) == value, "a small table does not lower the settings"
 
 
+def test_a_session_of_its_own_leaves_the_others_settings(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        own = session.own_session(spark)
+        assert own.conf.get("spark.sql.shuffle.partitions") == "9"
+        own.conf.set(PARTITIONS, "77")
+        assert spark.conf.get(PARTITIONS, None) is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_size_as_listed(spark):
+    import os
+
+    path = f"{SF_DIR}/orders.parquet"
+    df = spark.read.parquet(path)
+    assert session.listed_bytes(df) == os.path.getsize(path)
+    assert session.listed_bytes(df.join(df.select("o_orderkey"), "o_orderkey")) <= os.path.getsize(path)
+
+
+def test_scratch_can_be_cleared(spark):
+    other = session.own_session(spark)
+    path = session.scratch_path(other, "gone")
+    other.range(3).write.parquet(path)
+    assert session.delete(other, path) and not session.delete(other, path)
+
+
 def test_scratch_is_in_the_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = session.scratch_path(spark, "x"), session.scratch_path(spark, "x")

@@ -69,17 +69,63 @@ def test_dedup_over_three_micro_batches(spark, events):
 def test_late_rows_are_dropped_and_counted(spark, events):
     a, b, c = thirds(events)
     path, out, cp = topic(spark, [c]), scratch_path(spark, "out"), scratch_path(spark, "cp")
+    late = streams.LateRows(spark, scratch_path(spark, "late"))
+    total = lambda: late.counted().agg(F.coalesce(F.sum("dropped"), F.lit(0))).first()[0]
 
     def run():
-        stream = streams.read_stream(spark, "parquet", {"path": path}, events.schema)
-        return start(streams.dedup_stream(stream, ["event_id"], "ts", "1 hour"), out, cp)
-
-    assert streams.late_rows(run()) == 0
-    land(a, path)
-    assert streams.late_rows(run()) == a.count()
+        q = start(streams.dedup_stream(one_by_one(spark, path, events.schema), ["event_id"], "ts", "1 hour"), out, cp)
+        late.settle()
+        return q
+
+    # The query keeps the progress of two batches only; the count does not depend on it.
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    spark.streams.addListener(late)
+    try:
+        run()
+        assert total() == 0
+        for part in (a, b.where("ts < timestamp_ntz'2024-01-15 00:00:00'"), b.where("ts >= timestamp_ntz'2024-01-15 00:00:00'"), a.where("event_type = 'view'")):
+            land(part, path)
+        assert len(run().recentProgress) <= 2
+    finally:
+        spark.streams.removeListener(late)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert total() == a.count() + b.count() + a.where("event_type = 'view'").count()
+    assert late.counted().where("dropped > 0").count() == 4
     assert spark.read.parquet(out).count() == c.count()
 
 
+def test_static_join_deals_a_hot_user_out(spark, events):
+    # A third of the rows is one user's; none of the join's tasks gets them all.
+    hot = events.withColumn("user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(7)).otherwise(F.col("user_id")))
+    dim = spark.range(1000).select(F.col("id").alias("user_id"), F.lit("n").alias("name"))
+    # As in a stateful stream: no adaptive execution, no broadcast.
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        dealt = streams.enrich_stream(hot, dim, "user_id")
+        sizes = [r["count"] for r in dealt.where("user_id = 7").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 3 and max(sizes) < 0.6 * sum(sizes)
+        same(dealt, hot.join(dim, "user_id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_folded_batches_give_the_same_counters(spark, events):
+    path, root = topic(spark, thirds(events)), scratch_path(spark, "layers")
+    run = streams.layers(root, "events", "2024-02-01 00:00:00", SPEC)
+    stream = one_by_one(spark, path, events.schema).drop("timestamp")
+    streams.write_each_batch(stream, [run], scratch_path(spark, "cp")).awaitTermination()
+    want = streams.user_counters(events)
+    made = streams.fold_batches(spark, root, 0)
+    same(streams.counters_view(spark, root, made), want)
+    made = streams.fold_batches(spark, root, 1, made)
+    streams.drop_folded(spark, root, made)
+    assert made == 1 and spark.read.parquet(f"{root}/mart").select("batch_id").distinct().count() == 1
+    same(streams.counters_view(spark, root, made), want)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_static_join_equals_batch(spark, events, how):
     customer = spark.read.parquet(f"{SF_DIR}/customer.parquet").where("c_acctbal > 3000")

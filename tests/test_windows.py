@@ -125,3 +125,33 @@ def test_ntile_of_several_orders_in_one_go(spark):
     for name, order in orders.items():
         want = builtin_ntile(want, 4, order, name)
     same(got, want)
+
+
+def test_a_thousand_buckets_in_three_orders(spark):
+    df = materialise(spark.range(30_000).select("id", (F.col("id") * 7919 % 30_011).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 100).alias("b")), "many")
+    orders = {"x": ["a"], "y": ["b", "id"], "z": ["id"]}
+    got = windows.ntile_at_scale(df, 1200, orders, rows_per_slice=500)
+    w = {k: Window.orderBy(*[F.col(c).asc_nulls_first() for c in o]) for k, o in orders.items()}
+    same(got, df.withColumns({k: F.ntile(1200).over(o) for k, o in w.items()}))
+
+
+def test_slices_are_refined_until_they_fit(spark, monkeypatch):
+    monkeypatch.setattr(windows, "NTILE_CUTS_PER_PASS", 20)
+    df = materialise(spark.range(20_000).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("v")), "deep")
+    passes = []
+    counted = windows._slice_counts
+    monkeypatch.setattr(windows, "_slice_counts", lambda *a: passes.append(1) or counted(*a))
+    got = windows.ntile_at_scale(df, 4, {"x": ["v", "id"]}, rows_per_slice=60)
+    assert len(passes) > 1
+    same(got, df.withColumn("x", F.ntile(4).over(Window.orderBy("v", "id"))))
+
+
+def test_late_row_of_a_key_with_a_long_history(spark):
+    from strataloom.operators import vault
+
+    start = spark.range(5000).select(F.lit(1).alias("user"), F.col("id").alias("at"), (F.col("id") % 4).cast("string").alias("kind"))
+    stored = materialise(vault.load_satellite(None, start, "user", "hk", ["kind"], ["at"]), "stored")
+    late = spark.createDataFrame([(1, 10, "9")], "user int, at long, kind string")
+    new = vault.load_satellite(stored, late, "user", "hk", ["kind"], ["at"], rows_per_slice=200)
+    assert slices.SLICE in new._jdf.queryExecution().toString()
+    assert [(r["at"], r["kind"]) for r in new.collect()] == [(10, "9")]
