@@ -49,7 +49,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, with an end id, and whether they decode to it."""
-    coded = pieces.decode(pieces.encode(docs.select(*COLUMNS), PIECES), PIECES)
+    coded = pieces.encode(docs.select(*COLUMNS), PIECES, decoded="decoded")
     return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 

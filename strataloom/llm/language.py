@@ -19,7 +19,7 @@ SEED = 20240229
 UNKNOWN = "und"
 # Prototypes go to every task; beyond so many labels they are refused.
 MAX_LANGUAGES = 4096
-TRIGRAMS_KEPT = 60_000
+TRIGRAMS_KEPT = 40_000
 PART_BYTES = 1024 * 1024
 
 LETTERS = None
@@ -44,7 +44,7 @@ class Profiles:
         self.d = dimensions
         self.letters: dict[int, np.ndarray] = {}
         self.at: dict[int, int] = {}
-        self.rows = np.zeros((0, dimensions), np.float32)
+        self.rows = np.zeros((0, dimensions), np.int8)
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
         """One row for each trigram code (21 bits a letter)."""
@@ -53,13 +53,13 @@ class Profiles:
         codes = codes.tolist()
         fresh = [c for c in codes if c not in self.at]
         if fresh:
-            rows = np.empty((len(fresh), self.d), np.float32)
+            rows = np.empty((len(fresh), self.d), np.int8)
             for i, code in enumerate(fresh):
                 a, b, c = (self.letter(code >> s & 0x1FFFFF) for s in (42, 21, 0))
                 rows[i] = np.roll(a, 2) * np.roll(b, 1) * c
                 self.at[code] = len(self.rows) + i
             self.rows = np.concatenate([self.rows, rows])
-        return self.rows[[self.at[c] for c in codes]]
+        return self.rows[[self.at[c] for c in codes]].astype(np.float32)
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:

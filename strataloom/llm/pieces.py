@@ -18,8 +18,9 @@ from strataloom.llm.texts import add_columns, column, filled, lists
 
 MARK = "▁"
 # A task's table is emptied between parts beyond this many words or characters.
-TABLE_WORDS = 400_000
-TABLE_CHARS = 16_000_000
+TABLE_WORDS = 150_000
+TABLE_CHARS = 8_000_000
+PART_BYTES = 1024 * 1024
 MARKED = re.compile(" +[^ ]*")
 
 
@@ -71,10 +72,11 @@ class Segmenter:
         return [b"".join(map(table.__getitem__, ws)) + self.tail for ws in split]
 
 
-def encode(df: DataFrame, model: str, text: str = "text", out: str = "ids", end: bool = True) -> DataFrame:
+def encode(df: DataFrame, model: str, text: str = "text", out: str = "ids", end: bool = True, decoded: str | None = None) -> DataFrame:
     """``df`` with the ids of each whole text, as the library's ``encode`` gives them.
 
-    ``end`` appends the end id.  A null or empty text has only that.
+    ``end`` appends the end id.  A null or empty text has only that.  ``decoded`` names
+    a further column for what ``decode`` makes of the ids, in the same pass.
     """
 
     def make():
@@ -82,11 +84,16 @@ def encode(df: DataFrame, model: str, text: str = "text", out: str = "ids", end:
 
         def work(part):
             coded = segment(filled(part, text).to_pylist())
-            return [lists(np.frombuffer(b"".join(coded), np.int32), [len(c) // 4 for c in coded], pa.int32())]
+            columns = [lists(np.frombuffer(b"".join(coded), np.int32), [len(c) // 4 for c in coded], pa.int32())]
+            if decoded:
+                ids = [np.frombuffer(c, np.int32).tolist() for c in coded]
+                columns.append(pa.array(segment.sp.decode(ids, num_threads=1), pa.string()))
+            return columns
 
         return work
 
-    return add_columns(df, text, [T.StructField(out, T.ArrayType(T.IntegerType()))], make)
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))] + [T.StructField(decoded, T.StringType())] * bool(decoded)
+    return add_columns(df, text, fields, make, PART_BYTES)
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -29,12 +29,13 @@ def parts(batch: pa.RecordBatch, text: str, limit: int = PART_BYTES) -> Iterator
             start = end
 
 
-def add_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable) -> DataFrame:
+def add_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Callable, limit: int = PART_BYTES) -> DataFrame:
     """``df`` with new columns that ``make()(part)`` computes from each part of it.
 
     ``make`` runs once a task and returns a function from a part of an Arrow batch
     to the new columns' arrays.  Every other column passes through; one that has
-    the name of a new column, in either case, is replaced by it.
+    the name of a new column, in either case, is replaced by it.  A part has about
+    ``limit`` bytes of text.
     """
     new = {f.name.lower() for f in fields}
     kept = [f for f in df.schema.fields if f.name.lower() not in new]
@@ -43,7 +44,7 @@ def add_columns(df: DataFrame, text: str, fields: list[T.StructField], make: Cal
     def run(batches):
         work = make()
         for batch in batches:
-            for part in parts(batch, text):
+            for part in parts(batch, text, limit):
                 arrays = [part.column(part.schema.get_field_index(n)) for n in names]
                 yield pa.RecordBatch.from_arrays(arrays + list(work(part)), names=names + [f.name for f in fields])
 

@@ -35,8 +35,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lake.read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.encode(docs, PIECES).select("doc_id", "ids")
-    return pieces.decode(coded, PIECES).select(
+    return pieces.encode(docs, PIECES, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),

@@ -39,6 +39,8 @@ def test_pieces_round_trip(spark, sp):
     for r in rows:
         ids = sp.encode(r["text"] or "", add_eos=True)
         assert r["ids"] == ids and r["decoded"] == sp.decode(ids)
+    once = pieces.encode(docs, PIECES, decoded="decoded").select("text", "ids", "decoded", "key").collect()
+    assert sorted(map(str, once)) == sorted(map(str, rows))
     assert pieces.encode(empty(spark), PIECES).count() == 0
 
 
