@@ -29,7 +29,9 @@ def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Keeps one document of each group of near copies, the one with the least id."""
     docs = docs.select(*COLUMNS)
     kept = materialise(shingle_links.join(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    stays = docs.join(kept.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+    # The ids grow with the documents: shuffled at every size, never broadcast.
+    ids = kept.select(F.col("doc_id").alias("_kept")).hint("merge")
+    stays = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
     # Rows that repeat an id and its text are one document; without such rows no shuffle is needed.
     return stays.dropDuplicates(["doc_id", "text"]) if kept.where("rows > 1").take(1) else stays
 
