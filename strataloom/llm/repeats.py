@@ -212,7 +212,7 @@ def survey(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key binary, place int, gram long, around long, first int, last int")
 
 
-BLOCKS = "core binary, before binary, after binary, key binary, start int, shift int"
+BLOCKS = "core binary, before binary, after binary, key binary, start int"
 
 
 def cut_blocks(texts: DataFrame, length: int, stride: int) -> DataFrame:
@@ -221,7 +221,7 @@ def cut_blocks(texts: DataFrame, length: int, stride: int) -> DataFrame:
     Block ``b`` of an anchor holds the strings that begin ``b * stride`` to
     ``b * stride + stride - 1`` bytes before it.  ``before`` are the bytes ahead of
     the core, ``after`` those behind it, as far as the text goes; ``start`` is where
-    ``before`` would begin if it had ``stride - 1`` bytes, and ``shift`` how many it lacks.
+    ``before`` would begin if it had ``stride - 1`` bytes.
     """
 
     def run(batches):
@@ -243,20 +243,18 @@ def cut_blocks(texts: DataFrame, length: int, stride: int) -> DataFrame:
                                 continue
                             low, high = max(0, begin - (stride - 1)), min(n, end + stride - 1)
                             core = xxhash.xxh3_128_digest(raw[begin:end], b)
-                            out.append((core, raw[low:begin], raw[end:high], key, begin - (stride - 1), low - begin + stride - 1))
+                            out.append((core, raw[low:begin], raw[end:high], key, begin - (stride - 1)))
                 if out:
-                    kinds = [pa.binary()] * 4 + [pa.int32()] * 2
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["core", "before", "after", "key", "start", "shift"])
+                    kinds = [pa.binary()] * 4 + [pa.int32()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["core", "before", "after", "key", "start"])
 
     return texts.mapInArrow(run, BLOCKS)
 
 
 def sorted_blocks(blocks: DataFrame, stride: int) -> DataFrame:
-    """Strings of blocks that occur again; rows (core, before, after, offsets).
+    """Strings of distinct blocks that occur again; rows (core, before, after, runs).
 
-    ``blocks`` are distinct (core, before, after, several); ``several`` tells that
-    one occurs at more than one place.  An offset is that of a string from the first
-    one of the block.
+    A run has the offsets of its first and last string from the first of the block.
     """
 
     def order(cores, before, after, rows):
@@ -298,16 +296,19 @@ def sorted_blocks(blocks: DataFrame, stride: int) -> DataFrame:
                 rows, size = [], 0
         if owners:
             owner, offset = np.concatenate(owners), np.concatenate(offsets)
-            place = np.argsort(owner, kind="stable")
+            place = np.lexsort((offset, owner))
             owner, offset = owner[place], offset[place]
-            own, counts = np.unique(owner, return_counts=True)
+            new = np.concatenate([[True], (owner[1:] != owner[:-1]) | (offset[1:] != offset[:-1] + 1)])[:len(owner)]
+            own, first, last = owner[new], offset[new], offset[np.concatenate([new[1:], [True]])[:len(owner)]]
+            own, counts = np.unique(own, return_counts=True)
             take = pa.array(own)
+            runs = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (first, last)], names=["first", "last"])
             yield pa.RecordBatch.from_arrays(
                 [table.column(c).combine_chunks().take(take) for c in ("core", "before", "after")]
-                + [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(offset.astype(np.int32)))],
-                names=["core", "before", "after", "offsets"])
+                + [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), runs)],
+                names=["core", "before", "after", "runs"])
 
-    schema = "core binary, before binary, after binary, offsets array<int>"
+    schema = "core binary, before binary, after binary, runs array<struct<first:int,last:int>>"
     return grouped(blocks.select("core", "before", "after"), "core", schema, work)
 
 
@@ -320,7 +321,8 @@ def hashed_blocks(blocks: DataFrame, stride: int) -> DataFrame:
     tail = F.expr("substring(after, 1, offset)")
     rows = rows.withColumn("string", F.unhex(F.md5(F.concat(F.col("core"), head, tail)))).withColumn("block", F.xxhash64("before", "after"))
     again = rows.groupBy("string", "offset").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    return rows.join(again, ["string", "offset"]).groupBy("core", "before", "after").agg(F.collect_list("offset").alias("offsets"))
+    return rows.join(again, ["string", "offset"]).groupBy("core", "before", "after").agg(
+        F.collect_list(F.struct(F.col("offset").alias("first"), F.col("offset").alias("last"))).alias("runs"))
 
 
 def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH, gram: int = GRAM, stride: int = STRIDE, extra: list[Column] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -342,21 +344,19 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: i
 
     # Anchors by their gram, and by what is around them.
     marks = materialise(survey(base, length, gram), "anchors")
-    spot = F.struct("key", "place")
-    zones = marks.groupBy("gram", "around").agg(F.min(spot).alias("low"), F.max(spot).alias("high"), F.min("first").alias("first"), F.min("last").alias("last"))
+    spot = F.struct("key", "place", "first", "last")
+    zones = marks.groupBy("gram", "around").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
     zones = zones.select("gram", "around", (F.col("low") != F.col("high")).alias("again"), "low")
     zones = materialise(zones, "zones")
-    grams = zones.groupBy("gram").agg(F.count("*").alias("n"), F.min("again").alias("settled"), F.max("again").alias("any"))
-    grams = materialise(grams.where("n > 1 OR any"), "grams")
+    grams = materialise(zones.groupBy("gram").agg(F.count("*").alias("n"), F.min("again").alias("settled")).where("n > 1 AND NOT settled").select("gram"), "grams")
 
     single = texts.where("copies = 1").select("key")
     # Whole surroundings that occur again.
     settled = marks.join(zones.where("again").select("gram", "around"), ["gram", "around"]).join(single, "key", "left_semi")
     settled = settled.select("key", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     # Others that share a gram with different surroundings; of equal ones the first stands for all.
-    open_zones = zones.join(grams.where("n > 1 AND NOT settled").select("gram"), "gram").select("gram", "around", F.col("low.key").alias("key"), F.col("low.place").alias("place"))
-    opened = open_zones.join(marks, ["key", "place", "gram", "around"]).groupBy("key").agg(
-        F.collect_set(F.struct("place", "first", "last")).alias("open"))
+    opened = zones.join(grams, "gram").groupBy(F.col("low.key").alias("key")).agg(
+        F.collect_list(F.struct("low.place", "low.first", "low.last")).alias("open"))
     where = opened.join(texts.select("key", F.col("first").alias("at")), "key")
     held = base.join(where, F.col("doc_id").eqNullSafe(F.col("at"))).select("key", "open", "text")
     blocks = materialise(cut_blocks(held, length, stride), "blocks")
@@ -367,11 +367,12 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: i
     cores = distinct.groupBy("core").agg(F.count("*").alias("n"))
     few = distinct.join(cores.where((F.col("n") > 1) & (F.col("n") <= TOGETHER)).select("core"), "core")
     many = distinct.join(cores.where(F.col("n") > TOGETHER).select("core"), "core")
-    alike = distinct.where("several").select(
-        "core", "before", "after", F.filter(F.sequence(F.lit(0), F.lit(stride - 1)), lambda i: (F.lit(stride - 1) - i <= F.length("before")) & (i <= F.length("after"))).alias("offsets"))
+    # All strings of a block that occurs at several places, if the text has room for any.
+    all_of_it = F.struct((F.lit(stride - 1) - F.length("before")).alias("first"), F.length("after").alias("last"))
+    alike = distinct.where("several").select("core", "before", "after", F.array(all_of_it).alias("runs"))
     hits = materialise(sorted_blocks(few, stride).unionByName(hashed_blocks(many, stride)).unionByName(alike), "hits")
-    partial = blocks.join(hits, ["core", "before", "after"]).select("key", F.explode("offsets").alias("offset"), "start")
-    partial = partial.select("key", (F.col("start") + F.col("offset")).alias("start"), (F.col("start") + F.col("offset") + length).alias("end"))
+    partial = blocks.join(hits, ["core", "before", "after"]).select("key", F.explode("runs").alias("run"), "start").where("run.first <= run.last")
+    partial = partial.select("key", (F.col("start") + F.col("run.first")).alias("start"), (F.col("start") + F.col("run.last") + length).alias("end"))
 
     merged = merge(settled.unionByName(partial))
     found = merged.join(texts.select("key", "first"), "key").join(whole.select("key"), "key", "left_anti").select("key", "first", F.lit(False).alias("whole"), "spans")
