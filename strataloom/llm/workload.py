@@ -158,3 +158,20 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.join(cut, "key", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
+
+
+def _shingles_sql(table: str, key: str) -> str:
+    return rf"""
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS s
+  FROM (SELECT {key}, regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}]+') AS w FROM {table})"""
+
+
+SQL["op10_leaks"] = f"""
+WITH doc AS ({_shingles_sql('documents', 'doc_id')}),
+item AS ({_shingles_sql('benchmark', 'item_id')}),
+size AS (SELECT item_id, count(*) AS n_item FROM item GROUP BY item_id)
+SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS containment
+FROM doc JOIN item USING (s) JOIN size USING (item_id)
+GROUP BY doc_id, item_id, n_item HAVING count(*) * 10 >= 8 * n_item
+"""
