@@ -8,6 +8,7 @@ and are excluded first.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -32,20 +33,34 @@ DIGESTS = (32, 40, 56, 64, 96, 128)
 KNOWN = re.compile(
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # a UUID
     r"|[0-9_+/=-]+"  # numbers, dates, rules of dashes
-    r"|[A-Za-z]?[a-z]+([A-Z][a-z]+)*\d{0,4}"  # words, camelCase
+)
+# Strings of such a form are identifiers if their parts are likely words.
+NAMED = re.compile(
+    r"[A-Za-z]?[a-z]+([A-Z][a-z]+)*\d{0,4}"  # words, camelCase
     r"|[A-Z]+\d{0,4}"
     r"|([A-Za-z]{2,}|\d+)([_/+=-]+([A-Za-z]{2,}\d{0,4}|\d+))*[_/+=-]*"  # snake_case, kebab-case, paths
 )
+WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]")
 HEXADECIMAL = re.compile(r"[0-9a-fA-F]+")
 SPANS = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
-def known(candidate: str) -> bool:
-    """Whether a string is a digest or an identifier."""
+def known(candidate: str, tokens: Callable[[str], int], ratio: float = CHARS_PER_TOKEN) -> bool:
+    """Whether a string is a digest or an identifier.
+
+    An identifier has the form of one, and its words have ``ratio`` characters a
+    token or more.  ``tokens`` counts a string's tokens; a word in capitals is also
+    tried in small letters, as vocabularies know few capitalised words.
+    """
     if HEXADECIMAL.fullmatch(candidate) and len(candidate) in DIGESTS:
         return True
-    return KNOWN.fullmatch(candidate) is not None
+    if KNOWN.fullmatch(candidate):
+        return True
+    if not NAMED.fullmatch(candidate):
+        return False
+    words = WORD.findall(candidate)
+    return sum(map(len, words)) >= ratio * sum(min(tokens(w), tokens(w.lower())) for w in words)
 
 
 def base_spans(text: str, runs: list[re.Match]) -> list[tuple[str, int, int]]:
@@ -83,6 +98,7 @@ def find(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str =
 
     def make():
         encoding = vocabulary(ranks, pattern)
+        tokens = lambda t: len(encoding.encode_ordinary(t))
 
         def spans(value: str):
             runs = list(RUN.finditer(value))
@@ -91,9 +107,9 @@ def find(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str =
             for run in runs:
                 for m in CANDIDATE.finditer(value, *run.span()):
                     s, e = m.span()
-                    if known(m[0].rstrip("=")) or any(s < y and x < e for x, y in taken):
+                    if any(s < y and x < e for x, y in taken) or e - s >= ratio * tokens(m[0]):
                         continue
-                    if e - s < ratio * len(encoding.encode_ordinary(m[0])):
+                    if not known(m[0].rstrip("="), tokens, ratio):
                         found.append(("dense", s, e))
             return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 

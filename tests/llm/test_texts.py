@@ -171,6 +171,22 @@ def test_secrets_of_odd_rows(spark):
     assert secrets.find(empty(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_random_letters_are_no_identifiers(spark):
+    rng = random.Random(5)
+    of = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    makers = [lambda: of(low, 16), lambda: of(up, 20), lambda: of(low + up, 20), lambda: "-".join(of(up, 5) for _ in range(4)), lambda: of(up + "234567", 16), lambda: of(low + up + "0123456789", 16)]
+    random_ = ["xKqZvBnMwPlRtYsDfGhJ", "qzxkvwpjmtbgydrc", "QZXKV-WPJMT-BGYDR-CLFHN"]
+    strings = random_ + [make() for make in makers for _ in range(200)]
+    names = ["internationalization", "getElementsByClassName", "MAXIMUM_CONNECTION_COUNT", "path/to/some/module_name", "long-kebab-case-name-12",
+             "123e4567-e89b-12d3-a456-426614174000", "D41D8CD98F00B204E9800998ECF8427E", "20240101-000000-1234567"]
+    df = spark.createDataFrame([(i, f"a {t} b") for i, t in enumerate(strings + names)], "i long, text string")
+    got = {r["i"]: [tuple(s) for s in r["secrets"]] for r in secrets.find(df, RANKS, public_tokenizers.PATTERN).collect()}
+    whole = [any(s <= 2 and e >= 2 + len(t) for _, s, e in got[i]) for i, t in enumerate(strings)]
+    assert all(whole[:3]) and all(sum(whole[3 + 200 * k:203 + 200 * k]) >= 190 for k in range(len(makers)))
+    assert all(not got[len(strings) + i] for i in range(len(names)))
+
+
 def test_secrets_query(spark):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()}
     rows = workload.REGISTRY["op9_secrets"](spark, SF_DIR).collect()
