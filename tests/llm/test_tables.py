@@ -269,6 +269,21 @@ def test_vectors_with_dense_groups(spark):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.parametrize("mean", [0.0, 0.8, 0.9, 0.99])
+def test_vectors_with_a_common_direction(spark, mean):
+    rng = np.random.default_rng(6)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    x = mean * unit(np.ones(64)) + math.sqrt(1 - mean * mean) * unit(rng.standard_normal((450, 64)))
+    x = unit(x)
+    to = rng.standard_normal((300, 64))
+    to = unit(to - (to * x[:300]).sum(axis=1, keepdims=True) * x[:300])
+    rows = list(enumerate(np.concatenate([x, 0.951 * x[:300] + math.sqrt(1 - 0.951 ** 2) * to]).tolist()))
+    got = vector_links.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = {i: n for i, n, _ in vector_links_by_hand(rows)}
+    assert sum(want.values()) >= 600 and all(r["n_links"] <= want[r["vec_id"]] for r in got)
+    assert sum(r["n_links"] for r in got) >= 0.97 * sum(want.values())
+
+
 def test_vectors_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_links.link(df).count() == 0
