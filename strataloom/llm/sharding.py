@@ -2,9 +2,10 @@
 
 Documents with equal texts are linked.  Each starts with a label (shard) dealt in
 turn; in each round a link's neighbours pull: the copies of a text that lie in one
-shard move to the shard where most other copies lie, if the shard has room.  The
-quota of a shard is its share of all rows; documents without links fill what the
-linked ones leave.
+shard move to the shard where most other copies lie.  A shard may be overfilled by
+that; what is beyond its quota goes on to shards with room, smallest groups first
+and whole ones as far as they fit.  So full shards exchange.  The quota of a shard is
+its share of all rows; documents without links fill what the linked ones leave.
 
 Copies are interchangeable, so a round works on *blocks* (text, shard, number of
 copies): at most one row for each shard and text, however frequent a text is.
@@ -19,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from strataloom.session import materialise
 
 SHARDS = 24
-ROUNDS = 40
 ROWS_PER_BUCKET = 1_000_000
 LEAST_BUCKETS = 256
 
@@ -61,33 +61,73 @@ def loads_of(blocks: DataFrame, shards: int) -> list[int]:
     return loads
 
 
-def propagate(blocks: DataFrame, quotas: list[int], buckets: int, rounds: int = ROUNDS) -> DataFrame:
+def together(blocks: DataFrame) -> int:
+    """Ordered pairs of linked documents in one shard, each with itself included."""
+    return int(blocks.agg(F.sum(F.col("n").cast("decimal(19,0)") * F.col("n").cast("decimal(19,0)"))).first()[0] or 0)
+
+
+def merged(blocks: DataFrame, moves: DataFrame) -> DataFrame:
+    """The blocks after moves (key, shard, to, moved)."""
+    changes = moves.select("key", "shard", (-F.col("moved")).alias("n")).unionAll(moves.select("key", F.col("to").alias("shard"), F.col("moved").alias("n")))
+    return materialise(blocks.unionByName(changes).groupBy("key", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "shard-blocks")
+
+
+def push_out(blocks: DataFrame, quotas: list[int], buckets: int) -> DataFrame:
+    """Moves what is beyond the quotas to shards with room.
+
+    Small blocks go first, by the bit length of their number of copies.  What goes
+    is laid end to end along the rooms, so few blocks are divided.
+    """
+    loads = loads_of(blocks, len(quotas))
+    surplus = [max(0, n - q) for q, n in zip(quotas, loads)]
+    if not any(surplus):
+        return blocks
+    classed = blocks.where(at(surplus, F.col("shard")) > 0).withColumn("class", F.length(F.bin("n")))
+    lower = [[0] * 65 for _ in quotas]
+    for r in classed.groupBy("shard", "class").agg(F.sum("n").alias("n")).collect():
+        for c in range(r["class"] + 1, 65):
+            lower[r["shard"]][c] += r["n"]
+    first = F.element_at(F.array(*[F.array(*[F.lit(v).cast("long") for v in row]) for row in lower]), F.col("shard") + 1)
+    out = running_total(classed, ["shard", "class"], ["key"], F.col("n"), buckets, "before")
+    out = out.withColumn("moved", F.least("n", at(surplus, F.col("shard")) - F.element_at(first, F.col("class") + 1) - F.col("before"))).where("moved > 0")
+    laid = running_total(out.select("key", "shard", "moved"), [], ["key", "shard"], F.col("moved"), buckets, "low")
+    rooms, start = [], 0
+    for s, (q, n) in enumerate(zip(quotas, loads)):
+        if q > n:
+            rooms.append(F.struct(F.lit(s).alias("to"), F.lit(start).cast("long").alias("low"), F.lit(start + q - n).cast("long").alias("high")))
+            start += q - n
+    high = F.col("low") + F.col("moved")
+    parts = laid.withColumn("room", F.explode(F.filter(F.array(*rooms), lambda r: (r["low"] < high) & (r["high"] > F.col("low")))))
+    moves = parts.select("key", "shard", F.col("room.to").alias("to"), (F.least(high, F.col("room.high")) - F.greatest("low", "room.low")).alias("moved"))
+    return merged(blocks, moves)
+
+
+def propagate(blocks: DataFrame, quotas: list[int], buckets: int) -> DataFrame:
     """Moves blocks (key, shard, n) towards their text's largest block within the quotas.
 
-    Of several blocks that want the same shard, those that come first by hash move,
-    the last one in part.  Rounds end when nothing moves.  No shard ends with more
-    than its quota if none began so.
+    The largest is taken of the blocks that do not fill a shard; the first by hash
+    of equal ones.  A round is kept if more pairs of linked documents lie together
+    afterwards, and rounds end when none are gained: that number has a bound, so
+    they end.  No shard ends with more than its quota if none began so and the
+    quotas hold all.
     """
-    shards = len(quotas)
-    for _ in range(rounds):
-        room = [q - n for q, n in zip(quotas, loads_of(blocks, shards))]
-        pull = (
-            blocks.where(at(room, F.col("shard")) > 0)
-            .groupBy("key").agg(F.max(F.struct("n", (-F.col("shard")).alias("back"))).alias("best"))
-        )
-        wish = blocks.join(pull, "key").where(F.col("best") > F.struct("n", (-F.col("shard")).alias("back")))
-        wish = running_total(wish.select("key", "shard", "n", (-F.col("best.back")).alias("to")), ["to"], ["key", "shard"], F.col("n"), buckets, "before")
-        wish = wish.withColumn("moved", F.least("n", at(room, F.col("to")) - F.col("before"))).where("moved > 0")
-        moves = materialise(wish.select("key", "shard", "to", "moved"), "shard-moves")
+    now = together(blocks)
+    while True:
+        rank = F.struct("n", F.xxhash64("key", "shard").alias("draw"), "shard")
+        pull = blocks.where(F.col("n") < at(quotas, F.col("shard"))).groupBy("key").agg(F.max(rank).alias("best"))
+        # Blocks larger than the best one fill their shards and stay.
+        wish = blocks.join(pull, "key").where((F.col("n") < at(quotas, F.col("shard"))) & (F.col("shard") != F.col("best.shard")))
+        moves = materialise(wish.select("key", "shard", F.col("best.shard").alias("to"), F.col("n").alias("moved")), "shard-moves")
         if not moves.take(1):
             return blocks
-        changes = moves.select("key", "shard", (-F.col("moved")).alias("n")).unionAll(moves.select("key", F.col("to").alias("shard"), F.col("moved").alias("n")))
-        blocks = materialise(
-            blocks.unionByName(changes).groupBy("key", "shard").agg(F.sum("n").alias("n")).where("n > 0"), "shard-blocks")
-    return blocks
+        moved = push_out(merged(blocks, moves), quotas, buckets)
+        then = together(moved)
+        if then <= now:
+            return blocks
+        blocks, now = moved, then
 
 
-def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
     """One row a document: id, size in bytes, checksum, law, shard and slot in the shard.
 
     The law is ``rows``: the shards' row counts differ by one at most, and slots
@@ -109,7 +149,7 @@ def assign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards:
     linked = tagged.where("copies IS NOT NULL")
     dealt = running_total(linked, [], order, one, buckets, "place")
     blocks = materialise(dealt.groupBy("key", (F.col("place") % shards).cast("int").alias("shard")).agg(F.count("*").alias("n")), "shard-blocks")
-    blocks = propagate(blocks, quotas, buckets, rounds)
+    blocks = propagate(blocks, quotas, buckets)
 
     # Each block takes a stretch of its text's ranks and a stretch of its shard's slots.
     low = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

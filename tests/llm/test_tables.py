@@ -99,6 +99,20 @@ def test_shards_of_hot_and_small_groups(spark, texts_):
     assert all(len(spread[t]) <= math.ceil(n / max(1, share - 1)) + 2 for t, n in sizes.items())
 
 
+@pytest.mark.parametrize("groups,singles,most", [([2] * 600, 0, 30), ([2] * 600, 3, 30), ([3] * 300 + [2] * 150, 0, 60), ([200] + [2] * 500, 0, 60)])
+def test_full_shards_exchange(spark, groups, singles, most):
+    texts_ = [f"g{i}" for i, n in enumerate(groups) for _ in range(n)] + [f"s{i}" for i in range(singles)]
+    rows = list(enumerate(texts_))
+    got = sharding.assign(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_shards(got, len(rows))
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in rows)
+    spread = defaultdict(set)
+    for r in got:
+        spread[texts_[r["doc_id"]]].add(r["shard"])
+    # At most one text is divided for each end of a shard, and one for each overfull shard.
+    assert sum(len(s) - 1 for s in spread.values()) <= most
+
+
 def test_shards_of_odd_rows(spark):
     docs = with_clashes(odd_documents(spark))
     check_shards(sharding.assign(docs).collect(), docs.count())
