@@ -5,6 +5,7 @@ embedding.  A run splits the sets by sampled tokens: a bucket's path decides whi
 places are sampled, and sets that share a sampled token go on together.  Buckets
 split until they are small and are then searched by brute force; runs repeat with
 other samples until a pair at the threshold is missed less often than ``MISS``.
+Sets that pass through buckets of many splits get further runs for the same.
 Candidates are verified with the exact sets.
 """
 
@@ -27,6 +28,8 @@ MISS = 1e-3
 # Buckets up to this size are searched by brute force.
 SMALL = 256
 LEVELS = 6
+# Splits that the first runs are counted for.
+FEW_SPLITS = 3
 # A pair is compared exactly within its group if its estimate is this close.
 SLACK = 0.2
 # Up to this size a group's sets are compared one by one, beyond as matrices.
@@ -61,21 +64,39 @@ def sketched(df: DataFrame, text: str, places: int = PLACES) -> DataFrame:
     return add_columns(df, text, [T.StructField("set", T.BinaryType()), T.StructField("tokens", T.ArrayType(T.IntegerType()))], make)
 
 
-def runs_for(similarity: float, miss: float) -> int:
-    """Runs after which a pair at the threshold shares no bucket with probability ``miss``.
+def missed(similarity: float, splits: int, runs: int, places: int = PLACES) -> float:
+    """The chance that a pair at the threshold shares no bucket after ``splits`` splits.
 
     A split samples one place, and a second one so often that a pair at the
-    threshold is expected in one bucket again.  Counted is the chance to be together
-    three splits deep; most runs end earlier.
+    threshold is expected in one bucket again.  The places at which a pair agrees
+    are as many as chance has it.
     """
     second = 1 / similarity - 1
-    alone = 1 - similarity
-    once = lambda after: 1 - (1 - second) * (1 - similarity * after) - second * (1 - similarity * after) ** 2
-    return math.ceil(math.log(miss) / math.log(1 - once(once(once(1.0))))) if alone else 1
 
+    def apart(agreement: float) -> float:
+        with_ = 1.0
+        for _ in range(splits):
+            one = 1 - agreement * with_
+            with_ = 1 - (1 - second) * one - second * one ** 2
+        return 1 - with_
 
-def paths(reps: DataFrame, similarity: float, runs: int, small: int, places: int) -> DataFrame:
-    """Rows (node, set, size): the small buckets in which the runs end."""
+    chance = lambda k: math.comb(places, k) * similarity ** k * (1 - similarity) ** (places - k)
+    return sum(chance(k) * apart(k / places) ** runs for k in range(places + 1))
+
+
+def runs_for(similarity: float, miss: float, splits: int = LEVELS) -> int:
+    """Runs after which a pair at the threshold is ``missed`` with ``miss`` at most."""
+    if similarity >= 1:
+        return 1
+    runs = 1
+    while missed(similarity, splits, runs) > miss:
+        runs += 1
+    return runs
+
+
+def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows (node, set, size), the small buckets in which the runs end, and the sets of
+    buckets split more than ``FEW_SPLITS`` times (None if no bucket was)."""
     second = int((1 / similarity - 1) * 1000)
 
     def split(df, path, level):
@@ -85,8 +106,8 @@ def paths(reps: DataFrame, similarity: float, runs: int, small: int, places: int
         children = F.when(more & (sampled(1) != sampled(2)), F.array(token(1), token(2))).otherwise(F.array(token(1)))
         return df.select(F.explode(children).alias("node"), "set")
 
-    level = split(reps.withColumn("run", F.explode(F.sequence(F.lit(1), F.lit(runs)))), F.col("run"), 0)
-    done = []
+    level = split(reps.withColumn("run", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[-1])))), F.col("run"), 0)
+    done, deep = [], None
     for depth in range(1, LEVELS + 1):
         level = materialise(level, "paths")
         sizes = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
@@ -97,11 +118,13 @@ def paths(reps: DataFrame, similarity: float, runs: int, small: int, places: int
         large = level.join(sizes.where(F.col("size") > small), "node")
         if not large.take(1):
             break
+        if depth == FEW_SPLITS:
+            deep = large.select("set").distinct()
         level = split(large.join(reps, "set"), F.col("node"), depth)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out
+    return out, deep
 
 
 def search(buckets: DataFrame, reps: DataFrame, least: float, small: int) -> DataFrame:
@@ -229,7 +252,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity
     reps = materialise(
         known.where("set IS NOT NULL").groupBy("set")
         .agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")), "sets")
-    buckets = paths(reps.select("set", "tokens"), similarity, runs_for(similarity, miss), small, PLACES)
+    # A pair is missed by the first runs if none keeps it together for few splits; a run
+    # that does ends in a small bucket, or else both sets are deep and get all runs.
+    first, last = runs_for(similarity, miss / 2, FEW_SPLITS), runs_for(similarity, miss / 2)
+    tokens = reps.select("set", "tokens")
+    buckets, deep = paths(tokens, similarity, range(1, first + 1), small, PLACES)
+    if deep is not None and last > first:
+        more, _ = paths(tokens.join(materialise(deep, "deep-sets"), "set"), similarity, range(first + 1, last + 1), small, PLACES)
+        buckets = buckets.unionByName(more)
     loose = components(search(buckets, reps, similarity - SLACK, small))
     sizes = loose.groupBy("root").agg(F.count("*").alias("size"))
     members = loose.select(F.col("node").alias("set"), "root").join(sizes, "root").join(reps.drop("tokens"), "set")

@@ -359,6 +359,35 @@ def test_near_copies_all_linked(spark):
     assert all(r["kept"] == (i == r["class_id"]) for i, r in got.items())
 
 
+def test_near_pairs_among_texts_of_one_template(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    template = [word() for _ in range(150)]
+    texts_ = []
+    for _ in range(1200):
+        own = [word() for _ in range(75)]
+        texts_.append(" ".join(template + own))
+        if len(texts_) < 1600:  # a near copy: 24 other words of 225
+            texts_.append(" ".join(template + own[:-24] + [word() for _ in range(24)]))
+    docs = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["n_links"] for r in shingle_links.join(docs, small=4).collect()}
+    assert len(got) == len(texts_) == 2000 and all(got[i] == 0 for i in range(1600, 2000))
+    # A near pair shares 197 of 245 shingles: 0.804.
+    assert sum(got[i] for i in range(1600)) >= 1600 - 2 * 4
+
+
+def test_runs_cover_all_splits():
+    for splits in (shingle_links.FEW_SPLITS, shingle_links.LEVELS):
+        runs = shingle_links.runs_for(0.8, 5e-4, splits)
+        rng = np.random.default_rng(splits)
+        alive = np.repeat(rng.binomial(64, 0.8, 40_000) / 64, runs)
+        count = np.ones(len(alive), np.int64)
+        for _ in range(splits):  # buckets that a pair shares, by simulation
+            count = rng.binomial(count + rng.binomial(count, 0.25), alive)
+        found = (count.reshape(-1, runs) > 0).any(axis=1)
+        assert 1 - found.mean() < 1e-3
+
+
 def test_shared_shingles_as_matrices():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200)).astype(np.uint64)) for _ in range(40)]
