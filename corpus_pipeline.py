@@ -18,10 +18,16 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language, those that have no letter."""
+    """Drops documents without a letter.
+
+    Which language is predicted, and its score, decide nothing.  If no document to
+    learn from has a language, those with letters stay all the same.
+    """
     docs = docs.select(*COLUMNS)
     known = docs.where(~language.held_out(F.col("doc_id")))
-    found = language.predict(docs, language.learn(known))
+    # Any profile tells texts with letters from those without.
+    profiles = language.learn(known) or {"any": [1.0] * language.DIMENSIONS}
+    found = language.predict(docs, profiles)
     return found.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 

@@ -444,6 +444,13 @@ def test_pipeline_stages_of_odd_rows(spark, tmp_path):
         assert stage(spark, nothing, SF_DIR).count() == 0
 
 
+def test_pipeline_keeps_unlabelled_documents_with_letters(spark):
+    docs = odd_documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    got = corpus_pipeline.identify_language(spark, docs, SF_DIR).select("text").collect()
+    want = [r["text"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")]
+    assert want and Counter(r["text"] for r in got) == Counter(want)
+
+
 def test_pipeline_keeps_one_clean_document_of_each_class(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     got = {r["doc_id"] for r in __spark_entry__.queries()["pipeline"](spark, SF_DIR).select("doc_id").collect()}
