@@ -95,8 +95,10 @@ def find(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "it
     """``df`` with the items that each whole text contains: id, shared shingles, shingles of the item.
 
     An item is contained if a document holds at least ``containment`` of its
-    distinct five-word shingles.  Items and texts without words are never found;
-    equal rows among the items count once.  Items go to the tasks in blocks of
+    distinct five-word shingles.  An item of one to four words has one shingle of all
+    its words, so it is found only where it is the whole document, never inside a
+    longer one.  Items and texts without words are never found; equal rows among the
+    items count once.  Items go to the tasks in blocks of
     bounded size, one pass over ``df`` for each block.
     """
     asked = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text")).where("text IS NOT NULL").distinct()
