@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import language, leaks, pieces, repeats, secrets, sharding, shingle_links, token_count, url_lists, vector_links
+from strataloom.llm import language, leaks, pieces, repeats, secrets, sharding, shingle_links, spelling, token_count, url_lists, vector_links
 from strataloom.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,6 +161,18 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
 
 
+def with_slips(doc_id: str, word: str) -> str:
+    """One in 97 pairs of document and word loses a letter, both chosen by checksum."""
+    h = zlib.crc32(f"{doc_id}:{word}".encode())
+    return word if h % 97 else word[:h % len(word)] + word[h % len(word) + 1:]
+
+
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = lake.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.count_words(docs, change=with_slips))
+
+
 def _shingles_sql(table: str, key: str) -> str:
     return rf"""
   SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
