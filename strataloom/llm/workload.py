@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import language, leaks, pieces, repeats, secrets, sharding, shingle_links, spelling, token_count, url_lists, vector_links
+from strataloom.llm import attention, language, leaks, pieces, repeats, secrets, sharding, shingle_links, spelling, token_count, url_lists, vector_links
 from strataloom.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +161,18 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
 
 
+# Texts that score this or more are predicted to have label 1.
+GOOD = 0.7
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = lake.read_table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", attention.held_out(F.col("doc_id")))
+    labels = lake.read_table(spark, sf_dir, "labels").where(~attention.held_out(F.col("doc_id")))
+    model = attention.learn(docs.where("NOT held_out"), labels)
+    return attention.score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
 def with_slips(doc_id: str, word: str) -> str:
     """One in 97 pairs of document and word loses a letter, both chosen by checksum."""
     h = zlib.crc32(f"{doc_id}:{word}".encode())
