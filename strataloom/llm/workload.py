@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strataloom.llm import attention, language, leaks, pieces, repeats, secrets, sharding, shingle_links, spelling, token_count, url_lists, vector_links
+from strataloom.llm import alignment, attention, language, leaks, pieces, repeats, secrets, sharding, shingle_links, spelling, token_count, url_lists, vector_links
 from strataloom.sources import lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,6 +161,16 @@ def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("cut_sha256", "sha256").alias("kept_sha256"))
 
 
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = lake.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256)).alias("groups_sha256")
+    return alignment.align(docs, BYTE_LEVEL, PIECES, extra=[digest]).documents
+
+
 # Texts that score this or more are predicted to have label 1.
 GOOD = 0.7
 
