@@ -103,10 +103,11 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = cut.unionAll(cut.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        # Stored, so that the join deals the neighbours of a large star by itself and can split them.
+        least = materialise(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m")), "least")
         large = both.join(least, F.col("a") == F.col("n")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialise(large, "edges")
-        down = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+        down = materialise(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m"), "least")
         small = large.join(down, F.col("a") == F.col("n")).select(
             F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.greatest("b", "m").alias("a"), F.least("b", "m").alias("b")))).alias("e")
         ).select("e.a", "e.b").where("a <> b").distinct()

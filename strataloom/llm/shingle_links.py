@@ -5,8 +5,9 @@ embedding.  A run splits the sets by sampled tokens: a bucket's path decides whi
 places are sampled, and sets that share a sampled token go on together.  Buckets
 split until they are small and are then searched by brute force; runs repeat with
 other samples until a pair at the threshold is missed less often than ``MISS``.
-Sets that pass through buckets of many splits get further runs for the same.
-Candidates are verified with the exact sets.
+Sets that pass through buckets of many splits get further runs for the same.  In a
+large bucket of near copies most sets agree with what the bucket has in common; they
+are tied together there and go no further.  Candidates are verified with the exact sets.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from strataloom.llm.links import components, forest, grouped, in_block_pairs
 from strataloom.llm.texts import add_columns, filled, mixed, shingles
@@ -32,6 +33,11 @@ LEVELS = 6
 FEW_SPLITS = 3
 # A pair is compared exactly within its group if its estimate is this close.
 SLACK = 0.2
+# A set leaves a large bucket if it agrees with its centre at so many places; all that
+# agree with it nearly as often are then in its group, among them all its candidates.
+LEAVE = 0.85
+# Sets that a bucket's centre is taken from.
+SAMPLE = 33
 # Up to this size a group's sets are compared one by one, beyond as matrices.
 FEW = 12
 COLUMNS_AT_ONCE = 4096
@@ -94,9 +100,50 @@ def runs_for(similarity: float, miss: float, splits: int = LEVELS) -> int:
     return runs
 
 
-def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (node, set, size), the small buckets in which the runs end, and the sets of
-    buckets split more than ``FEW_SPLITS`` times (None if no bucket was)."""
+def centres(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(centre, common): for each node the token that over half of a few sets have at each place.
+
+    Where no token has so many there is none.  The few are those of least hashes.
+    """
+    way = Window.partitionBy("node").orderBy(F.xxhash64("set"), "set")
+    few = rows.withColumn("nth", F.row_number().over(way)).where(F.col("nth") <= sample).groupBy("node").agg(F.collect_list("tokens").alias("few"))
+
+    def run(batches):
+        for batch in batches:
+            common = []
+            for own in batch.column(1).to_pylist():
+                own = np.sort(np.array(own), axis=0)
+                middle = own[len(own) // 2]  # whatever over half have is in the middle
+                often = 2 * (own == middle).sum(axis=0) > len(own)
+                common.append([t if o else None for t, o in zip(middle.tolist(), often.tolist())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(common, pa.list_(pa.int32()))], names=["centre", "common"])
+
+    return few.mapInArrow(run, "centre long, common array<int>")
+
+
+def settled(large: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Sets of large buckets that need not go on, as edges (a, b), and rows (node, set) of those that do.
+
+    A set that agrees with its bucket's centre at ``LEAVE`` of the places leaves.
+    Whatever agrees with it at ``similarity - SLACK`` of them, as candidates must,
+    agrees with the centre at ``LEAVE + similarity - SLACK - 1`` at least: places add
+    up.  All that do so are tied to one of them, so no candidate pair is lost, and a
+    bucket of m sets gives m - 1 edges at most.
+    """
+    rows = large.select("node", "set").join(tokens, "set")
+    judged = rows.join(centres(rows), F.col("node") == F.col("centre"))
+    agree = F.size(F.filter(F.zip_with("tokens", "common", lambda x, y: x == y), lambda same: same))
+    judged = materialise(judged.select("node", "set", (agree / F.size("tokens")).alias("agree")), "judged")
+    leaves = F.col("agree") >= LEAVE
+    near = judged.where(F.col("agree") >= LEAVE + similarity - SLACK - 1 - 1e-9)
+    hubs = near.groupBy("node").agg(F.min("set").alias("hub"), F.max("agree").alias("most")).where(F.col("most") >= LEAVE)
+    edges = near.join(hubs.select(F.col("node").alias("centre"), "hub"), F.col("node") == F.col("centre")).where("set <> hub")
+    return edges.select(F.col("hub").alias("a"), F.col("set").alias("b")).distinct(), judged.where(~leaves).select("node", "set")
+
+
+def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: int) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
+    """Rows (node, set, size), the small buckets in which the runs end; the sets of buckets
+    split more than ``FEW_SPLITS`` times (None if no bucket was); edges found on the way."""
     second = int((1 / similarity - 1) * 1000)
 
     def split(df, path, level):
@@ -107,24 +154,31 @@ def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: i
         return df.select(F.explode(children).alias("node"), "set")
 
     level = split(reps.withColumn("run", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[-1])))), F.col("run"), 0)
-    done, deep = [], None
+    done, edges, deep = [], [], None
     for depth in range(1, LEVELS + 1):
         level = materialise(level, "paths")
         sizes = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        if depth == LEVELS:  # what is alike at so many places is one group; it is compared in blocks
-            done.append(level.join(sizes, "node"))
-            break
         done.append(level.join(sizes.where(F.col("size") <= small), "node"))
         large = level.join(sizes.where(F.col("size") > small), "node")
         if not large.take(1):
             break
+        tied, rest = settled(large, reps, similarity)
+        edges.append(materialise(tied, "tied"))
+        # What is left of a bucket may be small now; what is alike at so many places without
+        # a common centre is one group in the end and compared in blocks.
+        sizes = rest.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        rest = materialise(rest.join(sizes, "node"), "paths")
+        done.append(rest if depth == LEVELS else rest.where(F.col("size") <= small))
+        large = rest.where(F.col("size") > small)
+        if depth == LEVELS or not large.take(1):
+            break
         if depth == FEW_SPLITS:
             deep = large.select("set").distinct()
         level = split(large.join(reps, "set"), F.col("node"), depth)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out, deep
+    return out, deep, edges
 
 
 def search(buckets: DataFrame, reps: DataFrame, least: float, small: int) -> DataFrame:
@@ -237,15 +291,17 @@ def compared(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, miss: float = MISS, small: int = SMALL) -> DataFrame:
-    """One row a document: ``doc_id``, ``class_id``, ``n_links`` and ``kept``.
+    """One row a document: ``doc_id``, ``class_id``, ``n_links``, ``kept``, ``set`` and ``root``.
 
     Two documents are linked if the Jaccard similarity of their sets of five-word
     shingles is ``similarity`` or more (three decimals count).  ``class_id`` is the
     least id reachable by links, ``n_links`` the number of documents linked
     directly, copies included, and ``kept`` marks the one document of each class.
     Null, empty and wordless texts link with nothing and are kept; a null id is
-    larger than any other, and a class of null ids has a null class.  Of repeated
-    rows with the kept id one is kept.
+    larger than any other, and a class of null ids has a null class.  ``set`` names the
+    document's set of shingles and ``root`` the class by one of its sets (both null
+    without words): where an id is repeated with texts of one class, all these rows are
+    ``kept``, and ``root`` tells them from others that have the same id only.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     known = materialise(sketched(base, "text").drop("text"), "sketches")
@@ -256,11 +312,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity
     # that does ends in a small bucket, or else both sets are deep and get all runs.
     first, last = runs_for(similarity, miss / 2, FEW_SPLITS), runs_for(similarity, miss / 2)
     tokens = reps.select("set", "tokens")
-    buckets, deep = paths(tokens, similarity, range(1, first + 1), small, PLACES)
+    buckets, deep, tied = paths(tokens, similarity, range(1, first + 1), small, PLACES)
     if deep is not None and last > first:
-        more, _ = paths(tokens.join(materialise(deep, "deep-sets"), "set"), similarity, range(first + 1, last + 1), small, PLACES)
-        buckets = buckets.unionByName(more)
-    loose = components(search(buckets, reps, similarity - SLACK, small))
+        more, _, also = paths(tokens.join(materialise(deep, "deep-sets"), "set"), similarity, range(first + 1, last + 1), small, PLACES)
+        buckets, tied = buckets.unionByName(more), tied + also
+    edges = search(buckets, reps, similarity - SLACK, small)
+    for t in tied:
+        edges = edges.unionByName(t)
+    loose = components(edges)
     sizes = loose.groupBy("root").agg(F.count("*").alias("size"))
     members = loose.select(F.col("node").alias("set"), "root").join(sizes, "root").join(reps.drop("tokens"), "set")
     texts = base.join(members, F.col("doc_id").eqNullSafe(F.col("first"))).drop("doc_id", "first")
@@ -269,7 +328,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity
     groups = components(exact.select(F.col("set").alias("a"), F.col("to").alias("b")))
     rooted = reps.select("set", "first", "copies").join(groups.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = rooted.groupBy("root").agg(F.min("first").alias("class_id"))
-    found = rooted.join(least, "root").join(linked, "set", "left").select("set", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    found = rooted.join(least, "root").join(linked, "set", "left").select("set", "root", "class_id", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
     rows = known.select("doc_id", "set")
-    alone = rows.where("set IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"))
-    return rows.join(found, "set").select("doc_id", "class_id", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")).unionAll(alone)
+    alone = rows.where("set IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept"),
+                                                F.col("set"), F.col("set").alias("root"))
+    linked_rows = rows.join(found, "set").select("doc_id", "class_id", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"), "set", "root")
+    return linked_rows.unionAll(alone)

@@ -145,7 +145,7 @@ def op7_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_shingle_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shingle_links.join(lake.read_table(spark, sf_dir, "documents"))
+    return shingle_links.join(lake.read_table(spark, sf_dir, "documents")).drop("set", "root")
 
 
 @query

@@ -359,6 +359,53 @@ def test_near_copies_all_linked(spark):
     assert all(r["kept"] == (i == r["class_id"]) for i, r in got.items())
 
 
+def test_a_dense_group_does_not_cost_its_square(spark):
+    """Near copies of one text: rows in buckets and edges for each are bounded, and all are linked."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    base, values = [word() for _ in range(220)], []
+    for _ in range(2400):
+        own = list(base)
+        for _ in range(3):
+            own[rng.randrange(len(own))] = word()
+        values.append(" ".join(own))
+    sketches = shingle_links.sketched(spark.createDataFrame([(v,) for v in values], "text string"), "text").select("set", "tokens").collect()
+    assert len({r["set"] for r in sketches}) == 2400
+    runs = shingle_links.runs_for(0.8, 5e-4, shingle_links.FEW_SPLITS)
+    rows, links_ = [], []
+    for m in (600, 1200, 2400):
+        reps = spark.createDataFrame(sketches[:m], "set binary, tokens array<int>")
+        buckets, _, tied = shingle_links.paths(reps, 0.8, range(1, runs + 1), shingle_links.SMALL, shingle_links.PLACES)
+        edges = shingle_links.search(buckets, reps, 0.6, shingle_links.SMALL)
+        for t in tied:
+            edges = edges.unionByName(t)
+        rows.append(buckets.count())
+        links_.append(edges.count())
+        assert rows[-1] <= 1.25 * runs * m and links_[-1] <= runs * m
+    assert links.components(edges).groupBy("root").count().agg(F.max("count")).first()[0] == 2400
+    # Sets that stay pass one more split for each doubling, until the bound above; the square were 16 times.
+    assert rows[2] <= 9 * rows[0] and links_[2] <= 9 * links_[0], (rows, links_)
+
+
+def test_sets_that_leave_a_bucket_keep_their_candidates(spark):
+    """Whatever agrees with a set that leaves, as a candidate must, is tied to the same one."""
+    rng = np.random.default_rng(4)
+    base, rows = rng.integers(0, 1000, 64), []
+    for share in (0.02, 0.05, 0.15, 0.3, 0.5, 0.9):
+        for _ in range(60):
+            own = np.where(rng.random(64) < share, rng.integers(0, 1000, 64), base)
+            rows.append((1, len(rows).to_bytes(4, "big"), own.tolist()))
+    df = spark.createDataFrame(rows, "node long, set binary, tokens array<int>")
+    edges, rest = shingle_links.settled(df, df.select("set", "tokens"))
+    tied = {bytes(x) for e in edges.collect() for x in (e["a"], e["b"])}
+    stays = {bytes(r["set"]) for r in rest.collect()}
+    tokens = {s: np.array(t) for _, s, t in rows}
+    left = set(tokens) - stays
+    assert len(left) > 60 and edges.count() == len(tied) - 1
+    for x in left:
+        assert x in tied and all(y in tied for y in tokens if (tokens[x] == tokens[y]).mean() >= 0.6)
+
+
 def test_near_pairs_among_texts_of_one_template(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
@@ -433,7 +480,7 @@ def test_pipeline_stages_of_odd_rows(spark, tmp_path):
         docs = spark.read.parquet(str(tmp_path / str(k)))
         seen.append(docs)
     ids = [sorted((r["doc_id"] if r["doc_id"] is not None else -1) for r in d.select("doc_id").collect()) for d in seen]
-    assert ids[0] == [-1, 3, 4, 4, 4, 5, 6, 7, 8, 10, 11, 12, 300, 301]  # no letters, no language
+    assert ids[0] == [-1, 3, 4, 4, 4, 5, 6, 7, 8, 10, 11, 300, 301]  # no letters, or 50,000 times the same: no language
     assert ids[1] == [-1, 3, 4, 6, 7, 8, 10, 12, 300, 301]
     assert ids[2] == ids[3] == ids[4] == [-1, 3, 4, 6, 7, 8, 10, 12, 300]
     clean = {r["doc_id"]: r["text"] for r in seen[3].collect()}
@@ -451,6 +498,30 @@ def test_pipeline_keeps_unlabelled_documents_with_letters(spark):
     assert want and Counter(r["text"] for r in got) == Counter(want)
 
 
+def test_pipeline_rejects_texts_in_no_learned_language(spark):
+    known = [(3 * i + 1, f"the quick brown fox jumps over the lazy dog {i} times", "en") for i in range(40)]
+    other = [(900, "Это пример русского текста для проверки правила. " * 8, None), (901, "漢字かな交じり文の例です。" * 30, "en"),
+             (902, "the dog and the fox " * 20, None), (903, "да", None), (904, "12 34", None)]
+    docs = spark.createDataFrame([(i, t, g, "s", len(t)) for i, t, g in known + other], SCHEMA)
+    learn = [r for r in docs.withColumn("h", corpus_pipeline.language.held_out(F.col("doc_id"))).where("NOT h AND doc_id < 900").collect()]
+    assert learn
+    docs = docs.where("doc_id <> 901").unionByName(docs.where("doc_id = 901").withColumn("lang", F.lit(None).cast("string")))
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SF_DIR).collect()}
+    assert kept == {i for i, *_ in known} | {902, 903}
+
+
+def test_pipeline_keeps_one_row_where_an_id_has_several_texts_of_a_class(spark):
+    base = [f"word{i}" for i in range(120)]
+    near = lambda k: " ".join(base[:k] + ["other"] + base[k + 1:])
+    apart = " ".join(f"apart{i}" for i in range(60))
+    rows = [(5, near(10)), (5, near(50)), (5, apart), (5, apart), (7, near(90)), (8, apart + " more"), (9, "!!"), (9, "!!"), (9, "??"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.keep_one_of_a_kind(spark, docs, SF_DIR).collect()]
+    assert len([t for i, t in kept if i == 5 and t.startswith("word")]) == 1
+    assert sorted((i, t) for i, t in kept if i and not t.startswith("word")) == [(5, apart), (9, "!!"), (9, "??")]
+    assert (None, None) in kept and len(kept) == 5
+
+
 def test_pipeline_keeps_one_clean_document_of_each_class(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     got = {r["doc_id"] for r in __spark_entry__.queries()["pipeline"](spark, SF_DIR).select("doc_id").collect()}
