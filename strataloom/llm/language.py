@@ -17,10 +17,15 @@ from strataloom.llm.texts import add_columns, column, filled, parts
 DIMENSIONS = 1024
 SEED = 20240229
 UNKNOWN = "und"
-# Prototypes go to every task; beyond so many labels they are refused.
 MAX_LANGUAGES = 4096
 TRIGRAMS_KEPT = 40_000
+# Trigrams whose vectors are added at once.
+AT_ONCE = 4096
+# A table of owners by trigrams is filled in if one in so many of its cells is used.
+DENSE = 32
 PART_BYTES = 1024 * 1024
+# Scores of a text in no learned language are of the order of 1 / sqrt(DIMENSIONS).
+LEAST_SCORE, ENOUGH_LETTERS = 0.1, 200
 
 LETTERS = None
 
@@ -44,21 +49,21 @@ class Profiles:
         self.d = dimensions
         self.letters: dict[int, np.ndarray] = {}
         self.at: dict[int, int] = {}
-        self.rows = np.zeros((0, dimensions), np.int8)
+        self.rows = np.zeros((TRIGRAMS_KEPT + AT_ONCE, dimensions), np.int8)
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
-        """One row for each trigram code (21 bits a letter)."""
-        if len(self.at) > TRIGRAMS_KEPT:
-            self.at, self.letters, self.rows = {}, {}, self.rows[:0]
+        """One row for each trigram code (21 bits a letter), of ``AT_ONCE`` at most."""
         codes = codes.tolist()
         fresh = [c for c in codes if c not in self.at]
+        if len(self.at) + len(fresh) > len(self.rows):
+            self.at, self.letters, fresh = {}, {}, codes
         if fresh:
-            rows = np.empty((len(fresh), self.d), np.int8)
-            for i, code in enumerate(fresh):
-                a, b, c = (self.letter(code >> s & 0x1FFFFF) for s in (42, 21, 0))
-                rows[i] = np.roll(a, 2) * np.roll(b, 1) * c
-                self.at[code] = len(self.rows) + i
-            self.rows = np.concatenate([self.rows, rows])
+            n, bound = len(self.at), np.ones((len(fresh), self.d), np.int8)
+            for turn, shift in ((2, 42), (1, 21), (0, 0)):
+                letters, which = np.unique([c >> shift & 0x1FFFFF for c in fresh], return_inverse=True)
+                bound *= np.roll(np.stack([self.letter(c) for c in letters.tolist()]), turn, axis=1)[which]
+            self.rows[n:n + len(fresh)] = bound
+            self.at.update(zip(fresh, range(n, n + len(fresh))))
         return self.rows[[self.at[c] for c in codes]].astype(np.float32)
 
     def letter(self, code: int) -> np.ndarray:
@@ -66,17 +71,23 @@ class Profiles:
             self.letters[code] = letter_vector(code, self.d)
         return self.letters[code]
 
-    def counted(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Trigram codes, and how often each text has them (texts by trigrams)."""
-        # Spaces stand between texts too, so no trigram spans two of them.
-        flat = np.frombuffer("".join("  " + t.lower() + "  " for t in texts).encode("utf-32-le"), np.uint32)
-        owner = np.repeat(np.arange(len(texts)), [len(t.lower()) + 4 for t in texts])
+    def counted(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Trigram codes, and for each trigram of each text: the text, and which code.
+
+        Other characters in a row are one space, and each text has one of its own on
+        both sides, so what stands before it in the list has no part in it.
+        """
+        lowered = [" " + t.lower() + " " for t in texts]
+        sizes = np.array([len(t) for t in lowered])
+        flat = np.frombuffer("".join(lowered).encode("utf-32-le"), np.uint32)
+        owner = np.repeat(np.arange(len(texts)), sizes)
         is_letter = letter_table()[flat]
-        keep = is_letter | np.concatenate([[True], is_letter[:-1]])  # of other characters in a row, one
+        keep = is_letter | np.concatenate([[True], is_letter[:-1]])[:len(flat)]
+        keep[np.cumsum(sizes) - sizes] = True
         alphabet, small = np.unique(np.where(is_letter, flat, 32)[keep], return_inverse=True)
         owner, n = owner[keep], len(alphabet)
         if len(small) < 3:
-            return np.zeros(0, np.int64), np.zeros((len(texts), 0), np.float32)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         gram = (small[:-2].astype(np.int64) * n + small[1:-1]) * n + small[2:]
         space = np.searchsorted(alphabet, 32)
         # A trigram has its middle in a word, and all of it in one text.
@@ -91,13 +102,33 @@ class Profiles:
             gram = place[gram]
         else:
             grams, gram = np.unique(gram, return_inverse=True)
-        counts = np.bincount(owner * len(grams) + gram, minlength=len(texts) * len(grams))
         a, b, c = (alphabet.astype(np.int64)[x] for x in (grams // n // n, grams // n % n, grams % n))
-        return a << 42 | b << 21 | c, counts.reshape(len(texts), len(grams)).astype(np.float32)
-
-    def bundles(self, texts: list[str]) -> np.ndarray:
-        codes, counts = self.counted(texts)
-        return counts @ self.vectors(codes) if len(codes) else np.zeros((len(texts), self.d), np.float32)
+        return a << 42 | b << 21 | c, owner, gram
+
+    def bundles(self, codes: np.ndarray, owner: np.ndarray, gram: np.ndarray, n: int) -> np.ndarray:
+        """The sum of the trigrams' vectors for each of ``n`` owners.
+
+        A few trigrams at once, so that memory follows the text and not texts times
+        trigrams.  All sums are of whole numbers, in whatever order.
+        """
+        out = np.zeros((n, self.d), np.float32)
+        keys, times = np.unique(gram * n + owner, return_counts=True)
+        gram, owner = np.divmod(keys, n)
+        for at in range(0, len(codes), AT_ONCE):
+            low, high = np.searchsorted(gram, [at, at + AT_ONCE])
+            g, o, k = gram[low:high] - at, owner[low:high], times[low:high].astype(np.float32)
+            vectors = self.vectors(codes[at:at + AT_ONCE])
+            if n * len(vectors) <= DENSE * len(g):
+                counts = np.zeros((n, len(vectors)), np.float32)
+                counts[o, g] = k
+                out += counts @ vectors
+                continue
+            order = np.argsort(o, kind="stable")
+            for start in range(0, len(order), AT_ONCE):
+                some = order[start:start + AT_ONCE]
+                first = np.flatnonzero(np.diff(o[some], prepend=-1))
+                out[o[some][first]] += np.add.reduceat(vectors[g[some]] * k[some, None], first, axis=0)
+        return out
 
 
 def blocks(texts: list[str], limit: int = PART_BYTES):
@@ -110,12 +141,12 @@ def blocks(texts: list[str], limit: int = PART_BYTES):
             start, size = i + 1, 0
 
 
-def learn(df: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS) -> dict[str, list[float]]:
+def learn(df: DataFrame, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, most: int = MAX_LANGUAGES) -> dict[str, list[float]]:
     """One prototype for each non-null language: the sum of its texts' vectors.
 
     Each task adds up its own texts for each language, so neither a frequent
     language nor a long text gathers anywhere; a few numbers a language reach the
-    driver.
+    driver.  Prototypes go to every task, so more than ``most`` languages are an error.
     """
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("vector", T.ArrayType(T.DoubleType()))])
 
@@ -125,12 +156,12 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
             for part in parts(batch, "text"):
                 texts, langs = filled(part, "text").to_pylist(), column(part, "lang").to_pylist()
                 for block in blocks(texts):
-                    codes, counts = profiles.counted(texts[block])
+                    codes, owner, gram = profiles.counted(texts[block])
                     if not len(codes):
                         continue
-                    of = np.array(langs[block], dtype=object)
-                    names = sorted(set(of))
-                    bundled = np.stack([counts[of == n].sum(axis=0, dtype=np.float64) for n in names]) @ profiles.vectors(codes).astype(np.float64)
+                    names = sorted(set(langs[block]))
+                    of = np.array([names.index(n) for n in langs[block]])
+                    bundled = profiles.bundles(codes, of[owner], gram, len(names)).astype(np.float64)
                     for n, v in zip(names, bundled):
                         sums[n] = sums[n] + v if n in sums else v
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "vector"])
@@ -142,9 +173,9 @@ def learn(df: DataFrame, text: str = "text", lang: str = "lang", dimensions: int
         .groupBy("lang", "place").agg(F.sum("value").alias("value"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "value"))).alias("values"))
     )
-    found = summed.select("lang", "values.value").take(MAX_LANGUAGES + 1)
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    found = summed.select("lang", "values.value").take(most + 1)
+    if len(found) > most:
+        raise ValueError(f"more than {most} languages")
     return {r["lang"]: r["value"] for r in found if any(r["value"])}
 
 
@@ -165,7 +196,7 @@ def predict(df: DataFrame, prototypes: dict[str, list[float]], text: str = "text
             texts = filled(part, text).to_pylist()
             langs, scores = [], []
             for block in blocks(texts):
-                v = profiles.bundles(texts[block])
+                v = profiles.bundles(*profiles.counted(texts[block]), len(texts[block]))
                 size = np.linalg.norm(v, axis=1)
                 if not names:
                     size[:] = 0
@@ -184,6 +215,13 @@ def predict(df: DataFrame, prototypes: dict[str, list[float]], text: str = "text
     return add_columns(df, text, fields, make)
 
 
+def accepted(text: Column, lang: Column, score: Column, least: float = LEAST_SCORE, letters: int = ENOUGH_LETTERS) -> Column:
+    """Whether a prediction is a language: not ``und``, and for a text of ``letters`` letters
+    or more a score of ``least`` at least.  Shorter texts have low scores by chance."""
+    many = F.length(F.regexp_replace(text, r"\P{L}+", "")) >= letters
+    return (lang != UNKNOWN) & ~((score < least) & many)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning: one in three by its id's checksum."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -92,7 +92,9 @@ def encode(df: DataFrame, model: str, text: str = "text", out: str = "ids", end:
 
         return work
 
-    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))] + [T.StructField(decoded, T.StringType())] * bool(decoded)
+    fields = [T.StructField(out, T.ArrayType(T.IntegerType()))]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType()))
     return add_columns(df, text, fields, make, PART_BYTES)
 
 

@@ -8,12 +8,13 @@ and are excluded first.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from strataloom.llm.texts import add_columns, filled
+from strataloom.llm.texts import add_columns, column
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -87,13 +88,32 @@ def vocabulary(ranks: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
-def find(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "secrets", ratio: float = CHARS_PER_TOKEN) -> DataFrame:
+def merged(spans: list[tuple[str, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that spans cover, in order."""
+    starts, ends = [], []
+    for _, s, e in sorted(spans, key=lambda x: x[1]):
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
+def redact(text: str, spans: list[tuple[str, int, int]], mark: str = "[secret]") -> str:
+    """The text with each stretch of overlapping spans replaced by ``mark``."""
+    starts, ends = merged(spans)
+    return mark.join(text[e:s] for s, e in zip([*starts, len(text)], [0, *ends]))
+
+
+def find(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str = "secrets", ratio: float = CHARS_PER_TOKEN, clean: str | None = None) -> DataFrame:
     """``df`` with the spans (kind, start, end in code points) of each whole text.
 
     Kinds are assignments, access keys, long hex strings, and ``dense``: other runs
     of 16 and more characters with under ``ratio`` characters a token.  Spans of
     one kind do not overlap; a dense one overlaps none.  They are in order of start,
-    then kind.  A null or empty text has none.
+    then kind.  A null or empty text has none.  ``clean`` names a further column for
+    the text in which ``[secret]`` stands for each stretch of spans (null if it is null).
     """
 
     def make():
@@ -103,40 +123,37 @@ def find(df: DataFrame, ranks: str, pattern: str, text: str = "text", out: str =
         def spans(value: str):
             runs = list(RUN.finditer(value))
             found = base_spans(value, runs)
-            taken = sorted((s, e) for _, s, e in found)
+            starts, ends = merged(found)
+            dense = []
             for run in runs:
                 for m in CANDIDATE.finditer(value, *run.span()):
                     s, e = m.span()
-                    if any(s < y and x < e for x, y in taken) or e - s >= ratio * tokens(m[0]):
+                    # The last stretch that begins before the candidate's end.
+                    before = bisect_left(starts, e) - 1
+                    if before >= 0 and ends[before] > s or e - s >= ratio * tokens(m[0]):
                         continue
                     if not known(m[0].rstrip("="), tokens, ratio):
-                        found.append(("dense", s, e))
-            return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+                        dense.append(("dense", s, e))
+            return sorted(found + dense, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
         def work(part):
-            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in spans(v)] for v in filled(part, text).to_pylist()]
+            values = column(part, text).to_pylist()
+            found = [spans(v) if v else [] for v in values]
+            rows = [[{"kind": k, "start": s, "end": e} for k, s, e in own] for own in found]
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-            return [pa.array(rows, kind)]
+            columns = [pa.array(rows, kind)]
+            if clean:
+                columns.append(pa.array([redact(v, own) if own else v for v, own in zip(values, found)], pa.string()))
+            return columns
 
         return work
 
-    return add_columns(df, text, [T.StructField(out, SPANS)], make)
+    fields = [T.StructField(out, SPANS)]
+    if clean:
+        fields.append(T.StructField(clean, T.StringType()))
+    return add_columns(df, text, fields, make)
 
 
 def as_text(spans: Column) -> Column:
     """``kind:start:end`` of each span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-
-
-def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with each stretch of overlapping spans replaced by ``mark``."""
-    state = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
-
-    def step(acc, s):
-        begin, end = s["start"], s["end"]
-        new = F.concat(acc["done"], F.substring(text, acc["at"] + 1, begin - acc["at"]), F.lit(mark))
-        inside = (begin < acc["at"]) & (acc["at"] > 0)
-        return F.struct(F.when(inside, acc["done"]).otherwise(new).alias("done"), F.greatest(acc["at"], end).alias("at"))
-
-    folded = F.aggregate(spans, state, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, folded).otherwise(text)

@@ -3,6 +3,10 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
+import time
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -111,12 +115,64 @@ def test_profiles_are_sums_of_bound_letters():
     d, p = 256, language.Profiles(256)
     text = "Ab c!  déjà"
     want = np.zeros(d)
-    flat = "  " + re.sub("[^a-zà-ÿ]+", " ", text.lower()) + " "
+    flat = " " + re.sub("[^a-zà-ÿ]+", " ", text.lower()) + " "
     v = lambda c: language.letter_vector(ord(c), d).astype(float)
     for a, b, c in zip(flat, flat[1:], flat[2:]):
         if b != " ":
             want += np.roll(v(a), 2) * np.roll(v(b), 1) * v(c)
-    assert np.allclose(p.bundles([text, "zz"])[0], want)
+    assert (bundled(p, [text, "zz"])[0] == want).all()
+
+
+def bundled(profiles, values):
+    return profiles.bundles(*profiles.counted(values), len(values))
+
+
+def test_each_text_has_the_profile_it_has_alone(monkeypatch):
+    """Whatever stands before it, and however its trigrams are added."""
+    rng = random.Random(2)
+    values = ["a", "zzz", "", "  a", "a  ", "!a", "hello there", "  Hello\tthere!", "漢字 かな 漢字", "\n", *[
+        " ".join("".join(rng.choice("abcé") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 40))) for _ in range(60)]]
+    alone = [bundled(language.Profiles(256), [v])[0] for v in values]
+    assert alone[0].any() and (alone[0] == alone[3]).all() and not alone[2].any()
+    for at_once, dense in ((4096, 32), (7, 0), (7, 10**9), (50, 3)):
+        monkeypatch.setattr(language, "AT_ONCE", at_once)
+        monkeypatch.setattr(language, "DENSE", dense)
+        profiles = language.Profiles(256)
+        for _ in range(3):
+            rng.shuffle(order := list(range(len(values))))
+            got = bundled(profiles, [values[i] for i in order])
+            assert all((got[k] == alone[i]).all() for k, i in enumerate(order))
+
+
+def test_predictions_do_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    found = []
+    for n in (1, 50):
+        dealt = docs.repartition(n)
+        rows = language.predict(dealt, language.learn(dealt)).select("doc_id", "lang_pred", "score").collect()
+        found.append({r["doc_id"]: (r["lang_pred"], r["score"]) for r in rows})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        rows = language.predict(docs, language.learn(docs)).select("doc_id", "lang_pred", "score").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found.append({r["doc_id"]: (r["lang_pred"], r["score"]) for r in rows})
+    for other in found[1:]:
+        assert all(other[i][0] == p and abs(other[i][1] - s) < 1e-6 for i, (p, s) in found[0].items())
+
+
+def test_profiles_of_a_large_script_take_little_memory():
+    code = """
+import random, resource
+from strataloom.llm import language
+rng = random.Random(1)
+texts = ["".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(100)) for _ in range(10_000)]
+p = language.Profiles(language.DIMENSIONS)
+for block in language.blocks(texts):
+    p.bundles(*p.counted(texts[block]), len(texts[block]))
+assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss < 1_000_000, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[2])
 
 
 def test_language_of_odd_rows(spark):
@@ -159,7 +215,7 @@ def test_secrets_of_odd_rows(spark):
     dense = "".join(random.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(40))
     odd = ["key " + dense + " end", "id 123e4567-e89b-12d3-a456-426614174000", "some_very_long_identifier_name_2", "aVeryLongCamelCaseName", "2024-01-01-00-00-00-1234567", "sha " + "D41D8CD98F00B204E9800998ECF8427E"]
     docs = odd_documents(spark).unionByName(spark.createDataFrame([(100 + i, t) for i, t in enumerate(odd)], "doc_id long, text string"), allowMissingColumns=True)
-    rows = secrets.find(with_clashes(docs), RANKS, public_tokenizers.PATTERN).withColumn("clean", secrets.redact(F.col("text"), F.col("secrets"))).collect()
+    rows = secrets.find(with_clashes(docs), RANKS, public_tokenizers.PATTERN, clean="clean").collect()
     assert len(rows) == docs.count()
     for r in rows:
         spans = [tuple(s) for s in r["secrets"]]
@@ -201,8 +257,8 @@ def test_secrets_query(spark):
 
 def test_overlapping_secrets_are_redacted_once(spark):
     text = "a token=0123456789abcdef01234567 b"
-    row = secrets.find(spark.createDataFrame([(text,)], "text string"), RANKS, public_tokenizers.PATTERN).select(
-        secrets.redact(F.col("text"), F.col("secrets")).alias("clean"), F.size("secrets").alias("n")).first()
+    row = secrets.find(spark.createDataFrame([(text,)], "text string"), RANKS, public_tokenizers.PATTERN, clean="clean").select(
+        "clean", F.size("secrets").alias("n")).first()
     assert row["n"] == 2 and row["clean"] == "a [secret] b"
 
 
@@ -250,3 +306,21 @@ def test_leaks_query_finds_every_contained_item(spark):
         want |= {(r["doc_id"], i["item_id"]) for i, q in zip(items, asked) if q and len(q & s) >= 0.8 * len(q)}
     got = workload.REGISTRY["op10_leaks"](spark, SF_DIR).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+
+
+def test_redaction_of_adjacent_and_nested_spans():
+    spans = [("a", 2, 6), ("b", 4, 5), ("c", 5, 8), ("d", 8, 9), ("e", 12, 13)]
+    assert secrets.merged(spans) == ([2, 8, 12], [8, 9, 13])
+    assert secrets.redact("0123456789ABCDE", spans, "#") == "01##9AB#DE"
+    assert secrets.redact("", []) == "" and secrets.redact("x", [("a", 0, 1)], "#") == "#"
+
+
+def test_many_secrets_in_one_long_text(spark):
+    """Time grows with the text, not with the square of its spans."""
+    line = "token=abcdef%06d and Xq9ZvB3nMwPl%06dRtYs here\n"
+    text = "".join(line % (i, i) for i in range(100_000))
+    assert len(text) > 5_000_000
+    start = time.perf_counter()
+    row = secrets.find(spark.createDataFrame([(text,)], "text string"), RANKS, public_tokenizers.PATTERN, clean="clean").first()
+    assert len(row["secrets"]) == 200_000 and time.perf_counter() - start < 60
+    assert row["clean"] == "[secret] and [secret] here\n" * 100_000
