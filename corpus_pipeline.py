@@ -18,28 +18,41 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter.
+    """Drops documents without a letter, and longer ones in none of the learned languages.
 
-    Which language is predicted, and its score, decide nothing.  If no document to
-    learn from has a language, those with letters stay all the same.
+    If no document to learn from has a language, all with letters stay.
     """
     docs = docs.select(*COLUMNS)
-    known = docs.where(~language.held_out(F.col("doc_id")))
+    learned = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
     # Any profile tells texts with letters from those without.
-    profiles = language.learn(known) or {"any": [1.0] * language.DIMENSIONS}
-    found = language.predict(docs, profiles)
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
+    found = language.predict(docs, learned or {"any": [1.0] * language.DIMENSIONS})
+    stays = language.accepted(F.col("text"), F.col("lang_pred"), F.col("score")) if learned else F.col("lang_pred") != language.UNKNOWN
+    return found.where(stays).select(*COLUMNS)
 
 
 def keep_one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, the one with the least id."""
+    """Keeps one document of each group of near copies, the one with the least id.
+
+    Where that id is repeated with several texts of the group, one of them stays, and
+    rows that repeat an id and its text are one document.
+    """
     docs = docs.select(*COLUMNS)
-    kept = materialise(shingle_links.join(docs).where("kept").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    found = shingle_links.join(docs).where("kept")
+    # Per id its rows, and the one set of each class that stays.
+    classes = found.groupBy("doc_id", "root").agg(F.count("*").alias("rows"), F.min("set").alias("set"))
+    kept = materialise(classes.groupBy("doc_id").agg(F.sum("rows").alias("rows"), F.collect_set("set").alias("sets")), "kept")
     # The ids grow with the documents: shuffled at every size, never broadcast.
-    ids = kept.select(F.col("doc_id").alias("_kept")).hint("merge")
-    stays = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
-    # Rows that repeat an id and its text are one document; without such rows no shuffle is needed.
-    return stays.dropDuplicates(["doc_id", "text"]) if kept.where("rows > 1").take(1) else stays
+    ids = kept.select(F.col("doc_id").alias("_kept"), "rows").hint("merge")
+    stays = docs.join(ids.drop("rows"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*COLUMNS)
+    again = kept.where("rows > 1")
+    if not again.take(1):
+        return stays
+    several = again.select(F.col("doc_id").alias("_kept"), "sets").hint("merge")
+    once = stays.join(several, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_anti")
+    more = shingle_links.sketched(stays.join(several, F.col("doc_id").eqNullSafe(F.col("_kept"))), "text")
+    more = more.where("set IS NULL OR array_contains(sets, set)")
+    more = more.withColumn("_same", F.coalesce(F.hex("set"), F.col("text"))).dropDuplicates(["doc_id", "_same"])
+    return once.select(*COLUMNS).unionByName(more.select(*COLUMNS))
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +63,8 @@ def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces secrets in the texts and counts the characters anew."""
-    found = secrets.find(docs.select(*COLUMNS), RANKS, public_tokenizers.PATTERN)
-    return found.select("doc_id", secrets.redact(F.col("text"), F.col("secrets")).alias("text"), "lang", "source").withColumn(
+    found = secrets.find(docs.select(*COLUMNS), RANKS, public_tokenizers.PATTERN, clean="_clean")
+    return found.select("doc_id", F.col("_clean").alias("text"), "lang", "source").withColumn(
         "n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
