@@ -48,7 +48,9 @@ def ntile_at_scale(df: DataFrame, n: int, orders: Mapping[str, Sequence[str]],
         large = {(i, s) for i, s, _ in wanted if counts[i][s] > rows_per_slice}
         if not large:
             break
-        cuts = _more_cuts(df, at, pieces, cuts, large, counts)
+        before, cuts = cuts, _more_cuts(df, at, pieces, cuts, large, counts)
+        if cuts == before:
+            raise ValueError("an order ties over more rows than one task should sort; end it with a unique column")
         counts = _slice_counts(df, [among(c, kind, a) for c, kind, a in zip(cuts, kinds, at, strict=True)])
     last = _last_rows(df, at, pieces, counts, wanted)
     return df.withColumns({name: among(last[i], kinds[i], at[i]) + 1 for i, name in enumerate(orders)})
@@ -191,3 +193,22 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
     kind = rows.select(here.alias("v")).schema["v"].dataType
     both = F.coalesce(here + F.col("_start"), here, F.col("_start"))
     return rows.withColumn(name, both.cast(kind)).drop(SLICE, "_start")
+
+
+def sessions(df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], gap: str, aggs: Sequence[Column],
+             rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """``aggs`` for each session of ``keys``: rows no more than ``gap`` apart.
+
+    A session ends ``gap`` after its last row; columns ``session_start`` and
+    ``session_end`` come first.  ``[time, *order]`` must not tie within a key.  Rows
+    without time are in no session; null keys are keys.  The sessions of a hot key are
+    found in slices, across which the row before and the number of the session are
+    carried, and summed up before any shuffle.
+    """
+    wait, by = F.expr(f"INTERVAL {gap}"), [time, *order]
+    rows = previous(df.where(F.col(time).isNotNull()), keys, [time], by, "_before", rows_per_slice)
+    apart = F.col("_before").isNull() | (F.col(time) > F.col(f"_before.`{time}`") + wait)
+    marked = materialise(rows.withColumn("_first", apart.cast("long")).drop("_before"), "session-starts")
+    numbered = running(marked, keys, by, "_first", "_session", rows_per_slice)
+    totals = numbered.groupBy(*keys, "_session").agg(F.min(time).alias("session_start"), (F.max(time) + wait).alias("session_end"), *aggs)
+    return totals.select("session_start", "session_end", *[c for c in totals.columns if c not in ("session_start", "session_end", "_session")])

@@ -64,12 +64,12 @@ def refresh_mart(path: str, facts: DataFrame, changed: Sequence[DataFrame], part
     low, high, null = periods.agg(F.min(part), F.max(part), F.count_if(F.col(part).isNull())).first()
     if low is None and not null:
         return
-    # The range of the periods prunes the folders of the facts, the join does the rest.
-    reach = F.lit(False) if low is None else F.col(part).between(low, high)
+    # The join is on the folders' own column, so the periods found prune the folders of the
+    # facts; what has no period is read apart.
+    of = periods.where(F.col(part).between(low, high)).select(F.col(part).alias("_period"))
+    hit = facts.join(of, F.col(part) == F.col("_period"), "left_semi")
     if null:
-        reach = reach | F.col(part).isNull() | (F.col(part) == "")
-    of = periods.select(F.col(part).alias("_period"))
-    hit = facts.where(reach).join(of, period.eqNullSafe(F.col("_period")), "left_semi")
+        hit = hit.unionByName(facts.where(F.col(part).isNull() | (F.col(part) == "")))
     built = materialise(build(hit), "built-periods")
     built = built.withColumn(part, period)
     rebuild_period(built, path, part)

@@ -208,6 +208,43 @@ SQL: dict[str, str] = {
         SELECT courier_id, month, payout, sum(payout::DECIMAL(18,2)) OVER (PARTITION BY courier_id
                ORDER BY month ROWS UNBOUNDED PRECEDING)::VARCHAR AS paid_so_far
         FROM ({PAYOUT})""",
+    **dict.fromkeys(("stream_windows", "window_totals"), f"""
+        SELECT begins AS window_start, begins + INTERVAL 1 DAY AS window_end, event_type, count(*) AS n,
+               sum({_money('value')})::VARCHAR AS total
+        FROM (SELECT *, unnest(range(time_bucket(INTERVAL 6 HOUR, ts) - INTERVAL 18 HOUR, ts + INTERVAL 1 MICROSECOND,
+                                     INTERVAL 6 HOUR)) AS begins FROM events)
+        WHERE begins <= ts AND ts < begins + INTERVAL 1 DAY GROUP BY begins, event_type"""),
+    **dict.fromkeys(("stream_sessions", "session_totals"), f"""
+        WITH marked AS (SELECT *, coalesce(ts > lag(ts) OVER w + INTERVAL 6 HOUR, true) AS new FROM events
+                        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+             numbered AS (SELECT *, sum(new::INTEGER) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                                           ROWS UNBOUNDED PRECEDING) AS session FROM marked)
+        SELECT min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, user_id, count(*) AS n,
+               sum({_money('value')})::VARCHAR AS total
+        FROM numbered GROUP BY user_id, session"""),
+    "stream_interval_join": """
+        SELECT s.event_id, s.user_id, s.ts, p.event_id AS message_id, p.ts AS sent_at
+        FROM (SELECT * FROM events WHERE event_type = 'signup') s LEFT JOIN (SELECT * FROM events WHERE event_type = 'purchase') p
+          ON s.user_id = p.user_id AND p.ts BETWEEN s.ts AND s.ts + INTERVAL 1 DAY""",
+    "asof_join": """
+        SELECT p.event_id, p.user_id, p.ts, p.value,
+               CASE WHEN p.ts < v.ts + INTERVAL 1 DAY THEN v.event_id END AS action_id,
+               CASE WHEN p.ts < v.ts + INTERVAL 1 DAY THEN v.event_type END AS action
+        FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+        ASOF LEFT JOIN (SELECT * FROM events WHERE event_type <> 'purchase') v ON p.user_id = v.user_id AND p.ts >= v.ts""",
+    "interval_join": """
+        WITH offers AS (SELECT p_partkey, days, TIMESTAMP '1995-06-01' + to_days(p_size * 20) AS opens_at,
+                               TIMESTAMP '1995-06-01' + to_days(p_size * 20 + days) AS ends_at
+                        FROM part, (VALUES (1), (30), (1500)) o(days))
+        SELECT l_partkey AS part, l_orderkey, l_linenumber, l_suppkey, l_shipdate AS sent_at,
+               l_shipdate + to_days(l_quantity::INTEGER) AS due_at, days, opens_at, ends_at
+        FROM lineitem JOIN offers ON l_partkey = p_partkey
+         AND greatest(l_shipdate, opens_at) < least(l_shipdate + to_days(l_quantity::INTEGER), ends_at)""",
+    "range_frame": f"""
+        SELECT o_orderkey, o_custkey, o_orderdate, price::VARCHAR AS price, count(*) OVER w AS n_90_days,
+               (sum(price) OVER w)::VARCHAR AS spent_90_days, (max(price) OVER w)::VARCHAR AS most_90_days
+        FROM (SELECT *, {_money('o_totalprice')} AS price FROM orders)
+        WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate RANGE BETWEEN INTERVAL 90 DAY PRECEDING AND CURRENT ROW)""",
     "top_k": f"""
         SELECT s.o_custkey, s.total::VARCHAR AS total FROM ({SPEND}) s
         ORDER BY s.total DESC, s.o_custkey LIMIT 25""",

@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from strataloom.functions.values import MONEY, MONEY_SUM, money, money_sum
-from strataloom.operators import aggregates, dedup, filters, joins, model, quality, sets, vault, windows
+from strataloom.operators import aggregates, dedup, filters, joins, model, quality, sets, temporal, vault, windows
 from strataloom.plans import incremental, marts
 from strataloom.session import materialise, own_session, scratch_path, size_for
 from strataloom.sources import lake, messages, payloads
@@ -25,6 +25,9 @@ ORDERS_CUT = "1998-07-15"
 TURNOVER_CUT = "2000-03-15"
 EVENTS_CUT = "2024-01-16"
 LANDED_AT = ("2024-01-11", "2024-01-21")
+HEARTBEAT_AT = "2030-01-01 00:00:00"
+# Offers of a part, in days.
+OFFERS_FROM, OFFER_DAYS = "1995-06-01 00:00:00", (1, 30, 1500)
 LOADED_AT = ("2024-02-01 00:00:00", "2024-02-02 00:00:00")
 
 REGISTRY: dict[str, Query] = {}
@@ -401,6 +404,35 @@ def join_anti(t: Lake) -> DataFrame:
 
 # --- aggregations, windows, sets ---------------------------------------------
 
+@query
+def asof_join(t: Lake) -> DataFrame:
+    # What a user had done last when buying; actions are versions that hold for a day.
+    bought = t.events.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    actions = t.events.where("event_type <> 'purchase'").select(
+        "user_id", F.col("ts").alias("since"), F.col("event_id").alias("action_id"), F.col("event_type").alias("action"),
+        (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("until"))
+    return temporal.asof_join(bought, actions, ["user_id"], "ts", "since", ["action_id", "action"], "until")
+
+
+@query
+def interval_join(t: Lake) -> DataFrame:
+    # Deliveries take as many days as there are pieces; a part has offers of very different lengths.
+    sent = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber", "l_suppkey", F.col("l_shipdate").alias("sent_at"),
+                             (F.col("l_shipdate") + F.make_dt_interval(F.col("l_quantity").cast("int"))).alias("due_at")).withColumnRenamed("l_partkey", "part")
+    begin = F.lit(OFFERS_FROM).cast("timestamp_ntz")
+    days = F.explode(F.array(*[F.lit(d) for d in OFFER_DAYS]))
+    offers = t.part.select(F.col("p_partkey").alias("part"), days.alias("days"), (F.col("p_size") * 20).alias("wait")).select(
+        "part", "days", (begin + F.make_dt_interval(F.col("wait"))).alias("opens_at"), (begin + F.make_dt_interval(F.col("wait") + F.col("days"))).alias("ends_at"))
+    return temporal.interval_join(sent, offers, ["part"], ("sent_at", "due_at"), ("opens_at", "ends_at"))
+
+
+@query
+def range_frame(t: Lake) -> DataFrame:
+    bought = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", money("o_totalprice").alias("price"))
+    return temporal.trailing(bought, ["o_custkey"], "o_orderdate", 90 * 86400, {
+        "n_90_days": F.count("*"), "spent_90_days": F.sum("price"), "most_90_days": F.max("price")})
+
+
 @query
 def agg_group(t: Lake) -> DataFrame:
     total = money_sum(t.orders, "o_totalprice")
@@ -504,6 +536,58 @@ def stream_static_join(t: Lake) -> DataFrame:
     return without_zone(t.spark.read.schema(joined.schema).parquet(out), "ts")
 
 
+def with_heartbeats(t: Lake, kinds: list[str]) -> DataFrame:
+    """The events and, far behind them, one of each kind by a user of its own: they end all windows."""
+    beats = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(-1 - i).cast("bigint").alias("user")) for i, k in enumerate(kinds)]))
+    last = t.events.limit(1).select(beats.alias("beat")).select(
+        F.col("beat.user").alias("event_id"), F.lit(HEARTBEAT_AT).cast("timestamp_ntz").alias("ts"), F.col("beat.user").alias("user_id"),
+        F.col("beat.kind").alias("event_type"), F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
+    return t.events.unionByName(last)
+
+
+def value_totals() -> list[Column]:
+    return [F.count("*").alias("n"), F.sum(money("value")).cast(MONEY_SUM).alias("total")]
+
+
+@query
+def stream_windows(t: Lake) -> DataFrame:
+    stream = event_stream(t, land_events(t, with_heartbeats(t, ["view"]), "topic"))
+    totals = streams.window_totals(stream, "ts", "1 day", "6 hours", ["event_type"], value_totals(), "1 hour")
+    out, _ = run_to_end(t, totals, "windows")
+    return without_zone(without_zone(t.spark.read.schema(totals.schema).parquet(out), "window_start"), "window_end")
+
+
+@query
+def window_totals(t: Lake) -> DataFrame:
+    totals = streams.window_totals(t.events, "ts", "1 day", "6 hours", ["event_type"], value_totals())
+    return without_zone(without_zone(totals, "window_start"), "window_end")
+
+
+@query
+def stream_sessions(t: Lake) -> DataFrame:
+    stream = event_stream(t, land_events(t, with_heartbeats(t, ["view"]), "topic"))
+    totals = streams.session_totals(stream, "ts", "6 hours", ["user_id"], value_totals(), "1 hour")
+    out, _ = run_to_end(t, totals, "sessions")
+    return without_zone(without_zone(t.spark.read.schema(totals.schema).parquet(out), "session_start"), "session_end")
+
+
+@query
+def session_totals(t: Lake) -> DataFrame:
+    return windows.sessions(t.events, ["user_id"], "ts", ["event_id"], "6 hours", value_totals())
+
+
+@query
+def stream_interval_join(t: Lake) -> DataFrame:
+    # Who signed up, and each message within a day of it as it comes.
+    path = land_events(t, with_heartbeats(t, ["signup", "purchase"]), "topic")
+    joined = event_stream(t, path).where("event_type = 'signup'").select("event_id", "user_id", "ts")
+    sent = event_stream(t, path).where("event_type = 'purchase'").select(
+        F.col("event_id").alias("message_id"), "user_id", F.col("ts").alias("sent_at"))
+    both = streams.join_streams(joined, sent, "user_id", "ts", "sent_at", "1 day", "1 hour", "left")
+    out, _ = run_to_end(t, both, "joined")
+    return without_zone(without_zone(t.spark.read.schema(both.schema).parquet(out), "ts"), "sent_at")
+
+
 @query
 def stream_fanout(t: Lake) -> DataFrame:
     stream = event_stream(t, land_events(t, t.events, "topic"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.storagelevel import StorageLevel
 
@@ -77,6 +77,64 @@ def enrich_stream(stream: DataFrame, dim: DataFrame, on: str, how: str = "inner"
     return dealt.join(copies, [on, "_salt"], how).drop("_salt")
 
 
+def zoned(df: DataFrame, event_time: str) -> DataFrame:
+    """``df`` with an event time that watermarks and windows take."""
+    if isinstance(df.schema[event_time].dataType, T.TimestampNTZType):
+        df = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    return df
+
+
+def window_totals(df: DataFrame, event_time: str, size: str, slide: str, keys: Sequence[str],
+                  aggs: Sequence[Column], delay: str | None = None) -> DataFrame:
+    """``aggs`` for each ``keys`` and window of ``size`` that begins every ``slide``.
+
+    Columns ``window_start`` and ``window_end`` come first; equal ``size`` and ``slide``
+    are tumbling windows.  With ``delay`` the rows are a stream: a window is emitted once
+    the watermark, ``delay`` behind the newest row, has passed its end, and its state is
+    dropped.  Rows for windows that are done are dropped, and ``LateRows`` counts them
+    after they were summed up per task, window and keys.
+    Without it the rows are a table and all windows come.  Rows without time count nowhere.
+    """
+    df = zoned(df, event_time)
+    if delay:
+        df = df.withWatermark(event_time, delay)
+    totals = df.groupBy(F.window(event_time, size, slide).alias("_window"), *keys).agg(*aggs)
+    return totals.select(F.col("_window.start").alias("window_start"), F.col("_window.end").alias("window_end"),
+                         *[c for c in totals.columns if c != "_window"])
+
+
+def session_totals(stream: DataFrame, event_time: str, gap: str, keys: Sequence[str], aggs: Sequence[Column],
+                   delay: str) -> DataFrame:
+    """``aggs`` for each session of ``keys``: rows no more than ``gap`` apart.
+
+    A session ends ``gap`` after its last row.  It is emitted once the watermark has
+    passed that end; until then sessions that a new row connects are merged.  Columns
+    ``session_start`` and ``session_end`` come first.  ``windows.sessions`` is its twin
+    for tables.
+    """
+    timed = zoned(stream, event_time).withWatermark(event_time, delay)
+    totals = timed.groupBy(F.session_window(event_time, gap).alias("_session"), *keys).agg(*aggs)
+    return totals.select(F.col("_session.start").alias("session_start"), F.col("_session.end").alias("session_end"),
+                         *[c for c in totals.columns if c != "_session"])
+
+
+def join_streams(left: DataFrame, right: DataFrame, on: str, left_time: str, right_time: str, within: str,
+                 delay: str, how: str = "inner") -> DataFrame:
+    """Rows of two streams with equal ``on``, the right one at most ``within`` after the left.
+
+    Both bounds are in.  Each side remembers its rows only as long as a partner can still
+    come: the left ``within`` and ``delay``, the right ``delay``.  With ``how`` ``left`` a
+    row without a partner comes with nulls once none can come any more.  Other columns
+    must have different names.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("a stream-stream join is inner or left")
+    l = zoned(left, left_time).withWatermark(left_time, delay)
+    r = zoned(right, right_time).withWatermark(right_time, delay).withColumnRenamed(on, "_on")
+    after = (F.col(right_time) >= F.col(left_time)) & (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {within}"))
+    return l.join(r, (F.col(on) == F.col("_on")) & after, "leftOuter" if how == "left" else "inner").drop("_on")
+
+
 class LateRows(StreamingQueryListener):
     """Counts the rows that streams drop behind their watermarks, and keeps the counts.
 

@@ -469,8 +469,8 @@ def test_refresh_reads_only_the_touched_folders(spark, monkeypatch):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
         return df.groupBy("period").agg(F.sum("v").alias("v"))
 
-    incremental.refresh_mart(scratch_path(spark, "mart"), facts, [facts.where("period in ('p3', 'p4')")], "period", build)
-    assert "PartitionFilters: [isnotnull(period" in plans[0] and ">= p3" in plans[0] and "<= p4" in plans[0]
+    incremental.refresh_mart(scratch_path(spark, "mart"), facts, [facts.where("period in ('p0', 'p9')")], "period", build)
+    assert "dynamicpruning" in plans[0]
 
 
 def exchanges(df):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strataloom.operators import dedup
+from strataloom.operators import dedup, windows
 from strataloom.session import scratch_path
 from strataloom.sources import messages
 from strataloom.streaming import streams
@@ -196,3 +196,76 @@ def test_messages_out_and_in_again(spark, events):
     writer = streams.broker_messages(["event_id"], {"path": sent}, "parquet")
     streams.write_each_batch(stream, [writer], scratch_path(spark, "cp")).awaitTermination()
     same(messages.decode_messages(spark.read.parquet(sent), events.schema), events)
+
+
+def closing(spark, events, kinds):
+    """One event of each kind by a user of its own, far behind the others."""
+    last = [(-1 - i, k) for i, k in enumerate(kinds)]
+    df = spark.createDataFrame(last, "user_id bigint, event_type string").selectExpr(
+        "user_id AS event_id", "timestamp_ntz'2030-01-01 00:00:00' AS ts", "user_id", "event_type", "CAST(NULL AS DOUBLE) AS value", "CAST(NULL AS STRING) AS props")
+    return df.select(*events.columns)
+
+
+def finished(stream, spark):
+    out = scratch_path(spark, "out")
+    q = (stream.writeStream.format("parquet").option("checkpointLocation", scratch_path(spark, "checkpoint")).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out), q
+
+
+def event_topic(spark, events, kinds):
+    path = topic(spark, [*thirds(events), closing(spark, events, kinds)])
+    return lambda: streams.read_stream(spark, "parquet", {"path": path, "maxFilesPerTrigger": "1"}, events.schema).drop("timestamp")
+
+
+@pytest.mark.parametrize("size,slide", [("6 hours", "6 hours"), ("1 day", "7 hours")])
+def test_event_time_windows_equal_their_batch_twin(spark, events, size, slide):
+    read = event_topic(spark, events, ["view"])
+    aggs = [F.count("*").alias("n"), F.max("event_id").alias("last")]
+    got, q = finished(streams.window_totals(read(), "ts", size, slide, ["event_type"], aggs, "1 hour"), spark)
+    want = streams.window_totals(events, "ts", size, slide, ["event_type"], aggs)
+    assert spark_rows(got) == spark_rows(want) and want.count() > 100
+    # Only the closing row's windows are still remembered.
+    left = [o["numRowsTotal"] for o in q.lastProgress["stateOperators"]]
+    assert left and max(left) <= 4
+
+
+def test_sessions_in_a_stream_merge_over_batches(spark, events):
+    read = event_topic(spark, events, ["view"])
+    aggs = [F.count("*").alias("n"), F.max("event_id").alias("last")]
+    got, q = finished(streams.session_totals(read(), "ts", "8 hours", ["user_id"], aggs, "1 hour"), spark)
+    want = windows.sessions(events, ["user_id"], "ts", ["event_id"], "8 hours", aggs)
+    cast = lambda df: df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
+    assert spark_rows(cast(got)) == spark_rows(cast(want)) and want.count() > 100
+    assert max(o["numRowsTotal"] for o in q.lastProgress["stateOperators"]) <= 1
+
+
+def test_rows_behind_the_watermark_are_dropped_from_windows_and_counted(spark, events):
+    late = streams.LateRows(spark, scratch_path(spark, "late"))
+    # A batch is late by the watermark that the batch before it went by, so the second one is not.
+    path = topic(spark, [closing(spark, events, ["view"]), thirds(events)[1], thirds(events)[0]])
+    stream = streams.read_stream(spark, "parquet", {"path": path, "maxFilesPerTrigger": "1"}, events.schema)
+    spark.streams.addListener(late)
+    try:
+        got, _ = finished(streams.window_totals(stream, "ts", "1 day", "1 day", ["event_type"], [F.count("*").alias("n")], "1 hour"), spark)
+        late.settle()
+    finally:
+        spark.streams.removeListener(late)
+    assert spark_rows(got) == spark_rows(streams.window_totals(thirds(events)[1], "ts", "1 day", "1 day", ["event_type"], [F.count("*").alias("n")]))
+    assert late.counted().agg(F.sum("dropped")).first()[0] > 0
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_two_streams_joined_within_a_day(spark, events, how):
+    read = event_topic(spark, events, ["signup", "purchase"])
+    sides = lambda df: (df.where("event_type = 'signup'").select("event_id", "user_id", "ts"),
+                        df.where("event_type = 'purchase'").select(F.col("event_id").alias("message_id"), "user_id", F.col("ts").alias("sent_at")))
+    (l, _), (_, r) = sides(read()), sides(read())
+    got, q = finished(streams.join_streams(l, r, "user_id", "ts", "sent_at", "1 day", "1 hour", how), spark)
+    a, b = sides(events.withColumn("ts", F.col("ts").cast("timestamp")))
+    b = b.withColumnRenamed("user_id", "_on")
+    want = a.join(b, (F.col("user_id") == F.col("_on")) & F.col("sent_at").between(F.col("ts"), F.col("ts") + F.expr("INTERVAL 1 DAY")), how).drop("_on")
+    assert spark_rows(got) == spark_rows(want)
+    assert how == "inner" or want.where("message_id IS NULL").count() > 10
+    # State holds what lies within the interval of the newest rows: the closing ones.
+    assert max(o["numRowsTotal"] for o in q.lastProgress["stateOperators"]) <= 4
