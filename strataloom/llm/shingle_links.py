@@ -158,20 +158,21 @@ def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: i
     for depth in range(1, LEVELS + 1):
         level = materialise(level, "paths")
         sizes = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        if depth == LEVELS:  # what is alike at so many places is one group; it is compared in blocks
+            done.append(level.join(sizes, "node"))
+            break
         done.append(level.join(sizes.where(F.col("size") <= small), "node"))
         large = level.join(sizes.where(F.col("size") > small), "node")
         if not large.take(1):
             break
-        tied, rest = settled(large, reps, similarity)
-        edges.append(materialise(tied, "tied"))
-        # What is left of a bucket may be small now; what is alike at so many places without
-        # a common centre is one group in the end and compared in blocks.
-        sizes = rest.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        rest = materialise(rest.join(sizes, "node"), "paths")
-        done.append(rest if depth == LEVELS else rest.where(F.col("size") <= small))
-        large = rest.where(F.col("size") > small)
-        if depth == LEVELS or not large.take(1):
-            break
+        if depth == 1:
+            # Most of a dense group is still together here, and leaves before the splits.
+            tied, rest = settled(large, reps, similarity)
+            edges.append(materialise(tied, "tied"))
+            sizes = rest.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+            rest = materialise(rest.join(sizes, "node"), "paths")
+            done.append(rest.where(F.col("size") <= small))
+            large = rest.where(F.col("size") > small)
         if depth == FEW_SPLITS:
             deep = large.select("set").distinct()
         level = split(large.join(reps, "set"), F.col("node"), depth)
