@@ -95,6 +95,17 @@ QUARANTINE = """
                       CASE WHEN l_shipdate < o_orderdate THEN 'order:o_orderdate,l_shipdate' END), '') AS reason
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
 
+CUSTOMERS = ", count(DISTINCT o_custkey) AS customers"
+
+
+def _totals(keys: str, sets: str, more: str = "") -> str:
+    return f"""
+        SELECT {keys}, grouping({keys})::BIGINT AS grouping_id, count(*) AS orders, {_money_sum('o_totalprice')} AS revenue{more}
+        FROM (SELECT *, r_name AS region, n_name AS nation, o_orderdate::DATE::VARCHAR AS day
+              FROM orders JOIN ({GEOGRAPHY}) ON o_custkey = c_custkey)
+        GROUP BY {sets}"""
+
+
 SQL: dict[str, str] = {
     "lake_read": "SELECT * FROM orders",
     "landed_pages_flatten": "SELECT * FROM orders WHERE (o_orderkey // 100) % 7 NOT IN (3, 5)",
@@ -308,6 +319,33 @@ SQL: dict[str, str] = {
                      count(DISTINCT o_custkey) AS customers
               FROM orders JOIN ({GEOGRAPHY}) ON o_custkey = c_custkey GROUP BY ALL)""",
     "daily_turnover": TURNOVER,
+    "ranks_global": """
+        SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate,
+               rank() OVER up AS rank, dense_rank() OVER up AS dense_rank, percent_rank() OVER up AS percent_rank,
+               rank() OVER down AS newest_rank, dense_rank() OVER down AS newest_dense,
+               percent_rank() OVER down AS newest_percent
+        FROM lineitem
+        WINDOW up AS (ORDER BY l_quantity NULLS FIRST, l_shipdate NULLS FIRST),
+               down AS (ORDER BY l_shipdate DESC NULLS LAST)""",
+    "kpi_rollup": _totals("region, nation, day", "ROLLUP (region, nation, day)", CUSTOMERS),
+    "kpi_cube": _totals("region, o_orderstatus, day", "CUBE (region, o_orderstatus, day)", CUSTOMERS),
+    "kpi_grouping_sets": _totals("day, region", "GROUPING SETS ((day), (region))"),
+    "pivot_status": f"""
+        SELECT o_orderdate::DATE::VARCHAR AS day, {', '.join(
+            f"nullif(count(*) FILTER ({w}), 0) AS {s}_orders, (sum({_money('o_totalprice')}) FILTER ({w}))::VARCHAR AS {s}_revenue"
+            for s in 'FOP' for w in [f"WHERE o_orderstatus = '{s}'"])}
+        FROM orders GROUP BY ALL""",
+    "pivot_segments": f"""
+        SELECT c_nationkey, {', '.join(
+            f'nullif(count(*) FILTER ({w}), 0) AS "{s}_customers", max(c_acctbal) FILTER ({w}) AS "{s}_best"'
+            for s, w in [("BUILDING", "WHERE c_mktsegment = 'BUILDING'"), ("MACHINERY", "WHERE c_mktsegment = 'MACHINERY'"),
+                         ("rest", "WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")])}
+        FROM customer GROUP BY ALL""",
+    "sketch_trailing": """
+        WITH months AS (SELECT (year(o_orderdate) * 12 + month(o_orderdate))::INTEGER AS month, o_custkey FROM orders)
+        SELECT a.month, count(DISTINCT b.o_custkey) AS accounts, true AS within_error
+        FROM (SELECT DISTINCT month FROM months) a JOIN months b ON b.month BETWEEN a.month - 2 AND a.month
+        GROUP BY a.month""",
     "increment_read": f"SELECT * FROM events WHERE ts > TIMESTAMP '{EVENTS_CUT}'",
     "period_rebuild": """
         SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice ELSE 0.0 END::DOUBLE

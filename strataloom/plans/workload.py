@@ -12,7 +12,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from strataloom.functions.values import MONEY, MONEY_SUM, money, money_sum
-from strataloom.operators import aggregates, dedup, filters, joins, model, quality, sets, temporal, vault, windows
+from strataloom.operators import aggregates, dedup, filters, joins, model, quality, ranks, sets, sketches, temporal, vault, windows
 from strataloom.plans import incremental, marts
 from strataloom.session import materialise, own_session, scratch_path, size_for
 from strataloom.sources import lake, messages, payloads
@@ -697,6 +697,76 @@ def daily_turnover(t: Lake) -> DataFrame:
     return marts.daily_turnover(account_orders(t).drop("o_orderdate", "o_orderpriority"))
 
 
+@query
+def ranks_global(t: Lake) -> DataFrame:
+    # Fifty quantities; the days tie by the dozen.
+    items = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+    up = ranks.ranks(items, ["l_quantity", "l_shipdate"])
+    return ranks.ranks(up, ["l_shipdate"], True, "newest_rank", "newest_dense", "newest_percent")
+
+
+def dated_orders(t: Lake) -> DataFrame:
+    orders = t.orders.select("o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus")
+    geo = geography(t).select("c_custkey", F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
+    return joins.join_dims(orders, [(geo, "o_custkey", "c_custkey")]).withColumn("day", marts.day("o_orderdate"))
+
+
+def turnover_parts(df: DataFrame) -> dict[str, Column]:
+    return {"orders": F.count(F.lit(1)), "revenue": money_sum(df, "o_totalprice")}
+
+
+@query
+def kpi_rollup(t: Lake) -> DataFrame:
+    orders = dated_orders(t)
+    keys = ["region", "nation", "day"]
+    return aggregates.totals_by_sets(orders, keys, aggregates.rollup_sets(keys), turnover_parts(orders), {"customers": "o_custkey"})
+
+
+@query
+def kpi_cube(t: Lake) -> DataFrame:
+    orders = dated_orders(t)
+    keys = ["region", "o_orderstatus", "day"]
+    return aggregates.totals_by_sets(orders, keys, aggregates.cube_sets(keys), turnover_parts(orders), {"customers": "o_custkey"})
+
+
+@query
+def kpi_grouping_sets(t: Lake) -> DataFrame:
+    orders = dated_orders(t)
+    return aggregates.totals_by_sets(orders, ["day", "region"], [["day"], ["region"]], turnover_parts(orders))
+
+
+@query
+def pivot_status(t: Lake) -> DataFrame:
+    orders = dated_orders(t)
+    return aggregates.pivot(orders, ["day"], "o_orderstatus", turnover_parts(orders))
+
+
+@query
+def pivot_segments(t: Lake) -> DataFrame:
+    parts = {"customers": F.count(F.lit(1)), "best": F.max("c_acctbal")}
+    return aggregates.pivot(t.customer, ["c_nationkey"], "c_mktsegment", parts, ["BUILDING", "MACHINERY"], "rest")
+
+
+@query
+def sketch_trailing(t: Lake) -> DataFrame:
+    """Accounts of each month and the two before, from stored sketches; a month of them refreshed."""
+    month = F.expr("year(o_orderdate) * 12 + month(o_orderdate)").cast("int")
+    orders = t.orders.select("o_custkey", month.alias("month"), "o_orderstatus")
+    build = lambda f: sketches.sketch_per(f, ["month"], "o_custkey")
+    facts = lake.load_columnar(orders, t.scratch("months"), ["month"])
+    # At first the orders that are still open are missing; their months are refreshed.
+    path = t.scratch("sketches")
+    incremental.rebuild_period(build(facts.where("o_orderstatus <> 'P'")), path, "month")
+    late = facts.where("o_orderstatus = 'P'").select(F.col("month").cast("string"))
+    incremental.refresh_mart(path, facts.withColumn("month", F.col("month").cast("string")), [late], "month", build)
+    stored = lake.read_columnar(t.spark, path, build(facts).schema)
+    met = sketches.trailing(stored, "month", 3).select("month", sketches.estimate().alias("estimate"))
+    days = facts.select(F.explode(F.sequence(F.col("month"), F.col("month") + 2)).alias("month"), "o_custkey")
+    exact = days.groupBy("month").agg(F.count_distinct("o_custkey").alias("accounts"))
+    off = F.abs(F.col("estimate") - F.col("accounts")) <= F.col("accounts") * sketches.relative_error(deviations=5)
+    return met.join(exact, "month").select("month", "accounts", off.alias("within_error"))
+
+
 # --- incremental -------------------------------------------------------------
 
 @query

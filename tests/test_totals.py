@@ -1,0 +1,169 @@
+"""Ranks, totals by several groupings, pivots and sketches on ties, nulls and hot keys."""
+
+import random
+
+import pytest
+from pyspark.sql import Window, functions as F
+
+from strataloom.operators import aggregates, ranks, sketches
+from strataloom.plans import incremental
+from strataloom.session import scratch_path
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def plain_ranks(rows, key, descending=False):
+    """rank, dense_rank, percent_rank of each row by counting."""
+    def low(v):
+        return tuple((x is not None, x is not None and x != x, 0 if x is None or x != x else x) for x in v)
+    keys = [low(key(r)) for r in rows]
+    before = (lambda a, b: a > b) if descending else (lambda a, b: a < b)
+    out = []
+    for r, k in zip(rows, keys, strict=True):
+        smaller = [o for o in keys if before(o, k)]
+        share = len(smaller) / (len(rows) - 1) if len(rows) > 1 else 0.0
+        out.append((r[0], len(smaller) + 1, len(set(smaller)) + 1, round(share, 9)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("per_slice", [1_000_000, 7])
+def test_ranks_with_ties_nulls_and_a_hot_value(spark, descending, per_slice):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([5.0, 5.0, 5.0, None, float("nan"), -0.5, *range(30)]), rng.choice([None, "", "a", "é"])) for i in range(400)]
+    rows = [(i, None if v is None else float(v), s) for i, v, s in rows]
+    df = spark.createDataFrame(rows, "id int, v double, s string").repartition(6)
+    got = ranks.ranks(df, ["v", "s"], descending, values_per_slice=per_slice)
+    assert got.columns == ["id", "v", "s", "rank", "dense_rank", "percent_rank"]
+    have = sorted((r["id"], r["rank"], r["dense_rank"], round(r["percent_rank"], 9)) for r in got.collect())
+    assert have == plain_ranks(rows, lambda r: r[1:], descending)
+    assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
+
+
+def test_ranks_window_no_row_of_the_table(spark):
+    """The rows meet the ranks by a join; what is sorted are different values, in slices."""
+    df = spark.range(5000).withColumn("v", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))
+    got = ranks.ranks(df, ["v"], percent=None, values_per_slice=500)
+    want = df.withColumns({"rank": F.rank().over(Window.orderBy("v")), "dense_rank": F.dense_rank().over(Window.orderBy("v"))})
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    windows = [line for line in plan_of(got).splitlines() if "Window [" in line and "windowspecdefinition" in line]
+    assert windows and all("windowspecdefinition(_slice" in line for line in windows)
+
+
+def test_ranks_of_one_row_no_rows_and_clashing_names(spark):
+    one = spark.createDataFrame([(1, None)], "id int, v int")
+    assert [tuple(r) for r in ranks.ranks(one, ["v"]).collect()] == [(1, None, 1, 1, 0.0)]
+    assert ranks.ranks(one.limit(0), ["v"]).count() == 0
+    with pytest.raises(ValueError):
+        ranks.ranks(one.withColumn("RANK", F.lit(1)), ["v"])
+
+
+def sales(spark, n=900):
+    rng = random.Random(5)
+    rows = [(rng.choice(["n", "n", "s", None]), rng.choice([1, 2, None]), rng.choice([9, 9, 9, None, *range(20)]), rng.choice([None, 1, 2, 3]))
+            for _ in range(n)]
+    return rows, spark.createDataFrame(rows, "region string, day int, user int, amount int").repartition(7)
+
+
+@pytest.mark.parametrize("sets", [aggregates.rollup_sets(["region", "day"]), aggregates.cube_sets(["region", "day"]), [("day",), ("region",)]])
+def test_totals_by_sets(spark, sets):
+    rows, df = sales(spark)
+    got = aggregates.totals_by_sets(df, ["region", "day"], sets, {"n": F.count(F.lit(1)), "sum": F.sum("amount")}, {"users": "user"})
+    want = []
+    for s in sets:
+        groups = {}
+        for r in rows:
+            at = (r[0] if "region" in s else None, r[1] if "day" in s else None)
+            groups.setdefault(at, []).append(r)
+        level = ("region" not in s) * 2 + ("day" not in s)
+        for at, of in groups.items():
+            amounts = [r[3] for r in of if r[3] is not None]
+            want.append((*at, level, len(of), sum(amounts) if amounts else None, len({r[2] for r in of if r[2] is not None})))
+    assert sorted(map(str, map(tuple, got.select("region", "day", "grouping_id", "n", "sum", "users").collect()))) == sorted(map(str, want))
+
+
+def test_totals_copy_the_aggregate_and_not_the_rows(spark):
+    _, df = sales(spark)
+    plan = plan_of(aggregates.totals_by_sets(df, ["region", "day"], aggregates.cube_sets(["region", "day"]), {"n": F.count(F.lit(1))}, {"users": "user"}))
+    optimised = plan[plan.index("== Optimized"):plan.index("== Physical")]
+    expand, below = optimised.split("Expand", 1)
+    assert "Aggregate" in expand and "Aggregate" in below, "the copies are made above an aggregate"
+
+
+def test_totals_of_an_empty_table(spark):
+    _, df = sales(spark, 5)
+    assert aggregates.totals_by_sets(df.limit(0), ["region"], [("region",), ()], {"n": F.count(F.lit(1))}).count() == 0
+    with pytest.raises(ValueError):
+        aggregates.totals_by_sets(df, ["region"], [()], {}, {"a": "user", "b": "day"})
+
+
+def test_pivot_finds_values_and_keeps_nulls(spark):
+    rows, df = sales(spark)
+    got = aggregates.pivot(df.withColumn("kind", F.concat(F.lit("a.`b "), F.col("day"))), ["region"], "kind", {"n": F.count(F.lit(1)), "sum": F.sum("amount")})
+    assert got.columns == ["region", *[f"{v}_{p}" for v in ("a.`b 1", "a.`b 2", "null") for p in ("n", "sum")]]
+    for r in got.collect():
+        for i, day in enumerate((1, 2, None)):
+            of = [x for x in rows if x[0] == r[0] and x[1] == day]
+            assert r[1 + 2 * i] == len(of) and r[2 + 2 * i] == sum(x[3] or 0 for x in of)
+
+
+def test_pivot_of_given_values_and_the_rest(spark):
+    rows, df = sales(spark)
+    got = {r["region"]: r for r in aggregates.pivot(df, ["region"], "day", {"n": F.count(F.lit(1))}, [2, 7], "rest").collect()}
+    for region, r in got.items():
+        assert (r["2_n"], r["7_n"]) == (sum(x[0] == region and x[1] == 2 for x in rows), None)
+        assert r["rest_n"] == sum(x[0] == region and x[1] != 2 for x in rows)
+    left = aggregates.pivot(df, ["region"], "day", {"n": F.count(F.lit(1))}, [7])
+    assert {(r[0], r[1]) for r in left.collect()} == {(r, None) for r in ("n", "s", None)}
+
+
+def test_pivot_refuses_too_many_values_and_equal_names(spark):
+    df = spark.range(50).withColumn("k", F.lit(1))
+    with pytest.raises(ValueError, match="more than 49"):
+        aggregates.pivot(df, ["k"], "id", {"n": F.count(F.lit(1))}, most=49)
+    with pytest.raises(ValueError, match="one name"):
+        aggregates.pivot(df, ["k"], "id", {"n": F.count(F.lit(1))}, ["a", "A"])
+    assert aggregates.pivot(df.limit(0), ["k"], "id", {"n": F.count(F.lit(1))}).columns == ["k"]
+
+
+def test_sketches_keep_their_error_bound_and_merge(spark):
+    """A third of the rows on one key; merged over keys as counted over all rows."""
+    df = spark.range(200_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("day"), (F.col("id") % 70_001).alias("user"))
+    per = sketches.sketch_per(df, ["day"], "user")
+    exact = {r[0]: r[1] for r in df.groupBy("day").agg(F.count_distinct("user")).collect()}
+    bound = sketches.relative_error()
+    assert 0.03 < bound < 0.05
+    for r in per.select("day", sketches.estimate().alias("e")).collect():
+        assert abs(r["e"] - exact[r["day"]]) <= bound * exact[r["day"]]
+    whole = sketches.merged(per).select(sketches.estimate()).first()[0]
+    assert abs(whole - 70_001) <= bound * 70_001
+    part = df.where("day between 3 and 5").agg(F.count_distinct("user")).first()[0]
+    some = sketches.over_range(per, "day", 3, 5).select(sketches.estimate()).first()[0]
+    assert abs(some - part) <= bound * part
+
+
+def test_trailing_sketches(spark):
+    rows = [(d, u) for d in (1, 2, 3, 7, 8, None) for u in range((d or 1) * 5)] + [(9, None)]
+    df = spark.createDataFrame(rows, "day int, user int")
+    got = sketches.trailing(sketches.sketch_per(df, ["day"], "user"), "day", 3).select("day", F.round(sketches.estimate()).cast("int"))
+    assert sorted(map(tuple, got.collect())) == [(1, 5), (2, 10), (3, 15), (7, 35), (8, 40), (9, 40)]
+    assert sketches.trailing(sketches.sketch_per(df.limit(0), ["day"], "user"), "day", 3).count() == 0
+
+
+def test_a_refreshed_period_changes_one_sketch(spark):
+    """Sketches stored by month: a late row of one month rewrites that month's folder only."""
+    def build(facts):
+        return sketches.sketch_per(facts, ["month"], "user")
+    facts = spark.createDataFrame([(f"2024-0{m}", u) for m in range(1, 5) for u in range(m * 3)], "month string, user int")
+    path = scratch_path(spark, "sketches")
+    incremental.rebuild_period(build(facts), path, "month")
+    files = lambda: {r[0] for r in spark.read.parquet(path).select(F.input_file_name()).distinct().collect()}
+    before = files()
+    late = spark.createDataFrame([("2024-02", 99)], "month string, user int")
+    incremental.refresh_mart(path, facts.unionByName(late), [late], "month", build)
+    changed = before ^ files()
+    assert changed and all("month=2024-02" in f for f in changed)
+    stored = spark.read.parquet(path).select("month", F.round(sketches.estimate()).cast("int"))
+    assert sorted((str(m), n) for m, n in stored.collect()) == [("2024-01", 3), ("2024-02", 7), ("2024-03", 9), ("2024-04", 12)]
