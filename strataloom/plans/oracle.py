@@ -165,6 +165,7 @@ SQL: dict[str, str] = {
                {_digest('o_custkey')} AS customer_hk, {_HASH_LOAD} AS load_ts, 'orders' AS source
         FROM (SELECT o_orderkey, o_custkey, min(o_orderdate) AS first_at FROM orders GROUP BY ALL)""",
     "vault_satellite": SATELLITE,
+    "vault_satellite_stored": SATELLITE,
     "vault_current": f"""
         SELECT user_hk, ts, event_id, event_type, hashdiff FROM
         (SELECT *, row_number() OVER (PARTITION BY user_hk ORDER BY ts DESC, event_id DESC) AS rn

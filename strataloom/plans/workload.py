@@ -337,6 +337,16 @@ def vault_satellite(t: Lake) -> DataFrame:
     return event_satellite(t)
 
 
+@query
+def vault_satellite_stored(t: Lake) -> DataFrame:
+    later = F.coalesce(F.col("ts") >= F.lit(EVENTS_CUT).cast("timestamp_ntz"), F.lit(False))
+    args = ("user_id", "user_hk", ["event_type"], ["ts", "event_id"])
+    path = t.scratch("satellite")
+    for batch in (t.events.where(~later), t.events.where(later)):
+        new = vault.append_satellite(path, batch, *args)
+    return vault.read_satellite(t.spark, path, new.schema)
+
+
 @query
 def vault_current(t: Lake) -> DataFrame:
     return vault.current(event_satellite(t), "user_hk", ["ts", "event_id"])

@@ -126,10 +126,20 @@ def clear_scratch(spark: SparkSession) -> None:
         delete(spark, _scratch_root(spark, root))
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name, on any file system Spark knows."""
+    fs, hadoop = _file_system(spark, path)
+    return fs.exists(hadoop)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Deletes a file or folder of any file system Spark knows; false if there is none."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs, hadoop = _file_system(spark, path)
     if not fs.exists(hadoop):
         return False
     if not fs.delete(hadoop, True):

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.storagelevel import StorageLevel
 
 from strataloom.functions.values import MONEY_SUM, money_sum
+from strataloom.operators.joins import small_enough
 from strataloom.operators.model import to_core, to_staging
 from strataloom.session import delete
 from strataloom.sources.messages import decode_messages, encode_messages
@@ -31,6 +32,8 @@ BATCH_MESSAGES = "50000000"
 _LIMITS = {"maxbytespertrigger", "maxfilespertrigger", "maxoffsetspertrigger"}
 # Copies of each static row in a stream-static join, between which a key's rows are dealt.
 SALTS = 8
+# Share of a stream's rows above which a key is hot.
+HOT_SHARE = 0.01
 
 
 def read_stream(spark: SparkSession, fmt: str, options: Mapping[str, str], schema: T.StructType,
@@ -60,21 +63,44 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def enrich_stream(stream: DataFrame, dim: DataFrame, on: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+def hot_keys(rows: DataFrame, on: str, share: float = HOT_SHARE) -> list:
+    """Values of ``on`` that more than ``share`` of ``rows`` hold, so fewer than ``1 / share``.
+
+    ``rows`` are those of a stream that have landed already.  Null joins nothing and is
+    not among them.
+    """
+    counts = rows.groupBy(on).agg(F.count("*").alias("_n"))
+    total = rows.agg(F.count("*").alias("_n")).first()["_n"]
+    return [r[0] for r in counts.where((F.col("_n") > share * total) & F.col(on).isNotNull()).select(on).collect()]
+
+
+def enrich_stream(stream: DataFrame, dim: DataFrame, on: str, how: str = "inner", salts: int = SALTS,
+                  hot: Sequence | None = None) -> DataFrame:
     """Stream rows with the columns of a static table, which has one row per ``on``.
 
-    The join keeps no state.  The static side is read again by each micro-batch and
-    broadcast or shuffled by its size.  Adaptive execution, which splits hot keys in
-    batch, is off in a stateful stream, so the rows of a key are dealt to ``salts``
-    copies of its static row.
+    The join keeps no state.  The static side is read again by each micro-batch.  If it
+    is small when the stream is set up it is broadcast, so no row of the stream moves;
+    a session whose ``autoBroadcastJoinThreshold`` is -1 never does that.  Else both are
+    shuffled, and as adaptive execution, which splits hot keys in batch, is off in a
+    stateful stream, the rows of the keys in ``hot`` (see ``hot_keys``) are dealt to
+    ``salts`` copies of their static rows.  Without ``hot`` any key may be hot, and
+    every static row is copied.  Rows are dealt by a hash of all their values, so that a
+    task that runs again deals them alike; equal rows go to one copy.
     """
     if how not in ("inner", "left"):
         raise ValueError("a stream-static join is inner or left")
-    if salts == 1:
+    if dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1" and small_enough(dim):
+        return stream.join(F.broadcast(dim), on, how)
+    if salts == 1 or (hot is not None and not hot):
         return stream.join(dim, on, how)
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    dealt = stream.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int"))
-    return dealt.join(copies, [on, "_salt"], how).drop("_salt")
+    salt = "_salt"
+    while salt in {*stream.columns, *dim.columns}:
+        salt += "_"
+    dealt, copies = F.pmod(F.xxhash64(*stream.columns), F.lit(salts)).cast("int"), F.sequence(F.lit(0), F.lit(salts - 1))
+    if hot is not None:
+        known = F.coalesce(F.col(on).isin(list(hot)), F.lit(False))
+        dealt, copies = F.when(known, dealt).otherwise(0), F.when(known, copies).otherwise(F.array(F.lit(0)))
+    return stream.withColumn(salt, dealt).join(dim.withColumn(salt, F.explode(copies)), [on, salt], how).drop(salt)
 
 
 def zoned(df: DataFrame, event_time: str) -> DataFrame:
@@ -140,8 +166,9 @@ class LateRows(StreamingQueryListener):
 
     Each micro-batch that drops rows writes its number to a folder of its own, by
     stream and batch, so the count lasts beyond the driver and a batch that is told
-    of twice counts once.  Add it with ``spark.streams.addListener`` before the
-    stream starts.
+    of twice counts once.  A batch is told of after its commit: if the driver dies in
+    between, that batch's number is lost, so the counts are a lower bound.  Add it
+    with ``spark.streams.addListener`` before the stream starts.
     """
 
     def __init__(self, spark: SparkSession, path: str):

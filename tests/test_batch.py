@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -259,6 +260,32 @@ def test_satellite_in_two_loads_equals_one(spark):
         same(first.unionByName(second), one)
 
 
+def test_stored_satellite_equals_one_load(spark):
+    data = [(k, v, i) for i, (k, v) in enumerate([(1, "a"), (1, "a"), (1, "b"), (2, None), (3, "z"), (1, "b"), (2, None), (2, "c"), (3, "z"), (None, "q")])]
+    args = ("k", "hk", ["v"], ["at"])
+    one = vault.load_satellite(None, satellite(spark, data), *args)
+    for digits in (1, 2):
+        path = scratch_path(spark, "stored-satellite")
+        for cut in (data[:3], data[3:4], data[:0], data[4:], data):  # one is empty, the last repeats all
+            new = vault.append_satellite(path, satellite(spark, cut), *args, digits=digits)
+        assert new.isEmpty()
+        same(vault.read_satellite(spark, path, new.schema, digits), one)
+        with pytest.raises(ValueError):
+            vault.stored_for(new, path, "hk", new.schema, digits + 1)
+
+
+def test_stored_satellite_reads_touched_buckets_only(spark):
+    args = ("k", "hk", ["v"], ["at"])
+    path = scratch_path(spark, "stored-satellite")
+    new = vault.append_satellite(path, satellite(spark, [(k, "a", 1) for k in range(2000)]), *args)
+    keys = new.where("at = 1").orderBy("hk").limit(1)
+    stored = vault.stored_for(keys, path, "hk", new.schema)
+    first = keys.first()["hk"][:2]
+    scans = stored._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"PartitionFilters: \[[^]]*_strataloom_bucket#\d+ = {first}\)\]", scans)
+    same(stored, new.where(F.col("hk").startswith(first)))
+
+
 def test_satellite_takes_a_late_row(spark):
     args = ("k", "hk", ["v"], ["at"])
     stored = vault.load_satellite(None, satellite(spark, [(1, "a", 1), (1, "b", 5), (2, "z", 2)]), *args)

@@ -139,6 +139,39 @@ def test_static_join_equals_batch(spark, events, how):
     same(spark.read.parquet(out), twin)
 
 
+def test_only_hot_keys_are_copied(spark, events):
+    # Both sides have a column that is called like the one that deals the rows out.
+    hot = events.withColumn("user_id", F.when(F.pmod("event_id", F.lit(3)) == 0, F.lit(7)).when(F.col("event_id") % 50 == 1, None)
+                            .otherwise(F.col("user_id"))).withColumn("_salt", F.lit("x"))
+    dim = spark.range(1000).select(F.col("id").alias("user_id"), F.lit("n").alias("name"), F.lit(1).alias("_salt_"))
+    found = streams.hot_keys(hot, "user_id", 0.05)
+    assert found == [7]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("inner", "left"):
+            dealt = streams.enrich_stream(hot, dim, "user_id", how, hot=found)
+            same(dealt, hot.join(dim, "user_id", how))
+        sizes = [r["count"] for r in dealt.where("user_id = 7").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 3 and max(sizes) < 0.6 * sum(sizes)
+        # Without a hot key nothing is copied or dealt.
+        assert "Generate" not in plan(streams.enrich_stream(hot, dim, "user_id", hot=[]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert streams.hot_keys(hot.limit(0), "user_id") == []
+
+
+def test_a_small_static_table_is_broadcast_as_it_is(spark, events):
+    dim = spark.range(1000).select(F.col("id").alias("user_id"), F.lit("n").alias("name"))
+    text = plan(streams.enrich_stream(events, dim, "user_id", "left"))
+    assert "BroadcastHashJoin" in text and "Generate" not in text
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_static_join_refuses_other_kinds(spark, events):
     with pytest.raises(ValueError):
         streams.enrich_stream(events, events, "user_id", "outer")
