@@ -210,3 +210,57 @@ SELECT doc_id, item_id, count(*) AS n_shared, n_item, count(*) / n_item AS conta
 FROM doc JOIN item USING (s) JOIN size USING (item_id)
 GROUP BY doc_id, item_id, n_item HAVING count(*) * 10 >= 8 * n_item
 """
+
+SQL["op8_shingle_links"] = f"""
+WITH RECURSIVE shingle AS ({_shingles_sql('documents', 'doc_id')}),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+link AS (
+  SELECT a, b FROM pair JOIN size p ON a = p.doc_id JOIN size q ON b = q.doc_id
+  WHERE pair.n * 10 >= 8 * (p.n + q.n - pair.n)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a),
+degree AS (SELECT a AS doc_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, doc_id = class_id AS kept
+FROM documents LEFT JOIN degree USING (doc_id) JOIN least USING (doc_id)
+"""
+
+
+SQL["op7_vector_links"] = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN degree USING (vec_id) JOIN least USING (vec_id)
+"""
+
+
+SQL["op4_repeats"] = """
+WITH doc AS (
+  SELECT row_number() OVER () AS k, doc_id, encode(coalesce(text, '')) AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT k, t, unnest(range(0, length(h) // 2 - 399)) AS i FROM doc),
+string AS (SELECT k, i, md5(t[i + 1:i + 400]) AS s FROM place),
+again AS (SELECT k, i FROM string WHERE s IN (SELECT s FROM string GROUP BY s HAVING count(*) > 1)),
+apart AS (SELECT k, i, CASE WHEN i - lag(i) OVER (PARTITION BY k ORDER BY i) <= 400 THEN 0 ELSE 1 END AS opens FROM again),
+run AS (SELECT k, i, sum(opens) OVER (PARTITION BY k ORDER BY i) AS r FROM apart),
+span AS (SELECT k, min(i) AS b, max(i) + 400 AS e FROM run GROUP BY k, r),
+gap AS (
+  SELECT k, e AS b, lead(b) OVER (PARTITION BY k ORDER BY b) AS e FROM span
+  UNION ALL SELECT k, 0, min(b) FROM span GROUP BY k),
+kept AS (
+  SELECT k, string_agg(CASE WHEN e IS NULL THEN substr(h, 2 * b + 1) ELSE substr(h, 2 * b + 1, 2 * (e - b)) END, '' ORDER BY b) AS h
+  FROM gap JOIN doc USING (k) GROUP BY k),
+gone AS (SELECT k, sum(e - b) AS n_removed, count(*) AS n_spans FROM span GROUP BY k)
+SELECT doc_id, CAST(length(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(x.h, d.h))) AS kept_sha256
+FROM doc d LEFT JOIN gone USING (k) LEFT JOIN kept x USING (k)
+"""

@@ -298,6 +298,32 @@ def test_vectors_with_a_common_direction(spark, mean):
     assert sum(r["n_links"] for r in got) >= 0.97 * sum(want.values())
 
 
+def test_all_pairs_only_if_wanted(spark):
+    rng = np.random.default_rng(6)
+    x = 0.99 + 0.02 * rng.standard_normal((200, 64))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="all_pairs"):
+        vector_links.link(df, all_pairs=False)
+    assert {r["n_links"] for r in vector_links.link(df).collect()} == {199}
+
+
+@pytest.mark.parametrize("step", [16, 18, 21, 32])
+def test_keys_of_every_width_find_pairs_at_the_threshold(step):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rotations, tables, bound = vector_links.measured(x, 0.95, step)
+    pairs = vector_links.threshold_pairs(x[::-1].copy(), 0.95)
+    parts = [vector_links.parts_of(vector_links.words_of(rotations, v), tables, step) for v in pairs]
+    assert parts[0].max() < 2 ** step
+    met = (np.bitwise_count(parts[0] ^ parts[1]) <= 1).any(axis=1)
+    assert met.mean() >= 0.97 and bound < 64 * len(rotations)
+
+
+def test_keys_widen_with_the_number_of_vectors():
+    assert [vector_links.key_bits(n) for n in (0, 1, 500, 10_256, 51_282, 10 ** 6, 10 ** 9, 10 ** 12)] == [16, 16, 16, 16, 18, 22, 32, 32]
+
+
 def test_vectors_without_rows(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert vector_links.link(df).count() == 0
