@@ -96,18 +96,23 @@ def local_session(cores: str | int = 8, app: str = "strataloom", **conf: str) ->
     return tune(spark)
 
 
+# Temporary folders of applications on this machine alone, by application id.
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that all executors share.
 
-    The folder is the session's ``spark.checkpoint.dir``.  Only a local session
-    that has none falls back to a temporary folder of this machine.
+    The folder is the session's ``spark.checkpoint.dir``.  Only a local application
+    that has none falls back to a temporary folder of this machine, the same for all
+    its sessions; the setting itself cannot be changed while an application runs.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="strataloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.get(app) or _LOCAL_ROOTS.setdefault(app, tempfile.mkdtemp(prefix="strataloom-"))
     return f"{_scratch_root(spark, root)}/{label}-{uuid.uuid4().hex}"
 
 
@@ -121,7 +126,7 @@ def clear_scratch(spark: SparkSession) -> None:
     Results that were not written elsewhere cannot be read any more, so call it at
     the end of a job.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _LOCAL_ROOTS.get(spark.sparkContext.applicationId)
     if root:
         delete(spark, _scratch_root(spark, root))
 

@@ -70,6 +70,19 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert a != b and a.startswith(root)
 
 
+def test_a_local_application_without_a_folder_gets_one():
+    class Unset:
+        def get(self, name, default=None):
+            return "local[2]" if name == "spark.master" else default
+
+    class Application:
+        conf = Unset()
+        sparkContext = type("Context", (), {"applicationId": "local-unset"})
+
+    a, b = session.scratch_path(Application(), "x"), session.scratch_path(Application(), "x")
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+
+
 def test_no_machine_local_scratch_on_a_cluster():
     conf = {"spark.master": "yarn"}
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)))
