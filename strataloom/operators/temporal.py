@@ -112,7 +112,9 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_s
 
     on = [*keys, "_level", "_bin"]
     home_l, home_r = binned(l, "l", F.col("_llevel")), binned(r, "r", F.col("_rlevel"))
-    met = home_l.join(home_r.unionByName(guests(r, "r", levels["l"])), on).unionByName(guests(l, "l", levels["r"]).join(home_r, on))
+    # Rows are several times what the optimiser knows of the tables: shuffled, never broadcast.
+    met = home_l.join(home_r.unionByName(guests(r, "r", levels["l"])).hint("merge"), on).unionByName(
+        guests(l, "l", levels["r"]).join(home_r.hint("merge"), on))
     size = _length(F.col("_level"))
     later = F.greatest("_lfrom", "_rfrom")
     met = met.where((later < F.least("_lto", "_rto")) & (F.col("_bin") == _bin(later, size)))

@@ -149,3 +149,12 @@ def test_refresh_reads_the_touched_folders_only(spark):
     assert {r["day"]: r["total"] for r in spark.read.parquet(mart).withColumn("day", F.col("day").cast("string")).collect()} == {**{d: i for i, d in enumerate(days)}, None: 99}
 
 
+
+
+def test_intervals_are_never_broadcast(spark):
+    """The optimiser knows the size of a table, not of the bins its rows are copied to."""
+    df = spark.range(1000).select("id", F.timestamp_seconds("id").alias("a1"), F.timestamp_seconds(F.col("id") + 5).alias("a2"))
+    other = df.select("id", F.col("a1").alias("b1"), (F.col("a2") + F.expr("INTERVAL 1 DAY")).alias("b2"))
+    got = temporal.interval_join(df, other, ["id"], ("a1", "a2"), ("b1", "b2"))
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 1000
