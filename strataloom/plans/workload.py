@@ -41,7 +41,7 @@ class Lake:
 
     def __getattr__(self, name: str) -> DataFrame:
         self.__dict__[name] = table = lake.read_table(self.spark, self.root, name)
-        size_for(table)
+        size_for(table, fine=True)
         return table
 
     def scratch(self, label: str) -> str:

@@ -37,6 +37,29 @@ def test_settings_grow_with_the_input(restored, monkeypatch, tb, split_mb, parti
     assert restored.conf.get(SPLIT) == value, "a small table does not lower the settings"
 
 
+def test_fine_shuffles_take_less_of_the_input(restored, monkeypatch):
+    """What a task holds of six gigabytes is no more than of one."""
+    joined = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    own = session.own_session(restored)
+    df = own.read.parquet(f"{SF_DIR}/orders.parquet")
+    for gb in (1, 6):
+        monkeypatch.setattr(session, "listed_bytes", lambda _: gb * 1024**3)
+        session.size_for(df, fine=True)
+        assert int(own.conf.get(PARTITIONS)) == gb * 256
+    assert int(own.conf.get(joined).rstrip("b")) == 16 * 1024**2
+    monkeypatch.setattr(session, "listed_bytes", lambda _: 100 * 1024**4)
+    session.size_for(df, fine=True)
+    assert int(own.conf.get(PARTITIONS)) == 204_800
+    assert restored.conf.get(PARTITIONS, None) is None
+
+
+def test_registered_queries_shuffle_finely(spark):
+    from strataloom.plans.workload import Lake
+
+    lake = Lake(session.own_session(spark), SF_DIR)
+    assert lake.orders.sparkSession.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == str(session.JOINED_BYTES)
+
+
 def test_a_session_of_its_own_leaves_the_others_settings(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "9")
     try:
