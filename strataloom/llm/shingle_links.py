@@ -122,7 +122,7 @@ def centres(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def settled(large: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """Sets of large buckets that need not go on, as edges (a, b), and rows (node, set) of those that do.
+    """Sets of large buckets that need not go on, as edges (a, b), and rows (node, set, tokens) of those that do.
 
     A set that agrees with its bucket's centre at ``LEAVE`` of the places leaves.
     Whatever agrees with it at ``similarity - SLACK`` of them, as candidates must,
@@ -130,15 +130,21 @@ def settled(large: DataFrame, tokens: DataFrame, similarity: float = SIMILARITY)
     up.  All that do so are tied to one of them, so no candidate pair is lost, and a
     bucket of m sets gives m - 1 edges at most.
     """
-    rows = large.select("node", "set").join(tokens, "set")
+    rows = materialise(large.select("node", "set").join(tokens, "set"), "large")
     judged = rows.join(centres(rows), F.col("node") == F.col("centre"))
     agree = F.size(F.filter(F.zip_with("tokens", "common", lambda x, y: x == y), lambda same: same))
-    judged = materialise(judged.select("node", "set", (agree / F.size("tokens")).alias("agree")), "judged")
+    judged = materialise(judged.select("node", "set", "tokens", (agree / F.size("tokens")).alias("agree")), "judged")
     leaves = F.col("agree") >= LEAVE
-    near = judged.where(F.col("agree") >= LEAVE + similarity - SLACK - 1 - 1e-9)
+    near = judged.where(F.col("agree") >= LEAVE + similarity - SLACK - 1 - 1e-9).select("node", "set", "agree")
     hubs = near.groupBy("node").agg(F.min("set").alias("hub"), F.max("agree").alias("most")).where(F.col("most") >= LEAVE)
     edges = near.join(hubs.select(F.col("node").alias("centre"), "hub"), F.col("node") == F.col("centre")).where("set <> hub")
-    return edges.select(F.col("hub").alias("a"), F.col("set").alias("b")).distinct(), judged.where(~leaves).select("node", "set")
+    return edges.select(F.col("hub").alias("a"), F.col("set").alias("b")).distinct(), judged.where(~leaves).select("node", "set", "tokens")
+
+
+def sized(level: DataFrame) -> DataFrame:
+    """Rows of nodes that have several, with their number as ``size``; stored."""
+    sizes = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+    return materialise(level.join(sizes, "node"), "paths")
 
 
 def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: int) -> tuple[DataFrame, DataFrame | None, list[DataFrame]]:
@@ -146,36 +152,36 @@ def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: i
     split more than ``FEW_SPLITS`` times (None if no bucket was); edges found on the way."""
     second = int((1 / similarity - 1) * 1000)
 
-    def split(df, path, level):
+    def split(df, path, level, *keep):
         sampled = lambda k: F.pmod(F.xxhash64(path, F.lit(level), F.lit(k)), F.lit(places)).cast("int")
         token = lambda k: F.xxhash64(path, F.lit(level), sampled(k), F.element_at("tokens", sampled(k) + 1))
         more = F.pmod(F.xxhash64(path, F.lit(level), F.lit(0)), F.lit(1000)) < second
         children = F.when(more & (sampled(1) != sampled(2)), F.array(token(1), token(2))).otherwise(F.array(token(1)))
-        return df.select(F.explode(children).alias("node"), "set")
+        return df.select(F.explode(children).alias("node"), "set", *keep)
 
     level = split(reps.withColumn("run", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[-1])))), F.col("run"), 0)
     done, edges, deep = [], [], None
     for depth in range(1, LEVELS + 1):
-        level = materialise(level, "paths")
-        sizes = level.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
+        level = sized(level)
         if depth == LEVELS:  # what is alike at so many places is one group; it is compared in blocks
-            done.append(level.join(sizes, "node"))
+            done.append(level)
             break
-        done.append(level.join(sizes.where(F.col("size") <= small), "node"))
-        large = level.join(sizes.where(F.col("size") > small), "node")
+        done.append(level.where(F.col("size") <= small))
+        large = level.where(F.col("size") > small)
         if not large.take(1):
             break
         if depth == 1:
             # Most of a dense group is still together here, and leaves before the splits.
+            # The few that go on take their tokens along, joined once for all splits.
             tied, rest = settled(large, reps, similarity)
             edges.append(materialise(tied, "tied"))
-            sizes = rest.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-            rest = materialise(rest.join(sizes, "node"), "paths")
+            rest = sized(rest)
             done.append(rest.where(F.col("size") <= small))
             large = rest.where(F.col("size") > small)
         if depth == FEW_SPLITS:
             deep = large.select("set").distinct()
-        level = split(large.join(reps, "set"), F.col("node"), depth)
+        level = split(large, F.col("node"), depth, "tokens")
+    done = [d.select("node", "set", "size") for d in done]
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -315,7 +321,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity
     tokens = reps.select("set", "tokens")
     buckets, deep, tied = paths(tokens, similarity, range(1, first + 1), small, PLACES)
     if deep is not None and last > first:
-        more, _, also = paths(tokens.join(materialise(deep, "deep-sets"), "set"), similarity, range(first + 1, last + 1), small, PLACES)
+        deep = materialise(tokens.join(deep, "set"), "deep-sets")
+        more, _, also = paths(deep, similarity, range(first + 1, last + 1), small, PLACES)
         buckets, tied = buckets.unionByName(more), tied + also
     edges = search(buckets, reps, similarity - SLACK, small)
     for t in tied:

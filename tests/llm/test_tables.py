@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from strataloom.llm import leaks, links, repeats, shingle_links, sharding, texts, url_lists, vector_links, workload
+from strataloom.session import materialise
 from tests.compare import SF_DIR, duck, duck_rows, explain_difference, spark_rows
 from tests.llm.rows import LONG, SCHEMA, empty, odd_documents, with_clashes
 
@@ -432,6 +433,23 @@ def test_sets_that_leave_a_bucket_keep_their_candidates(spark):
         assert x in tied and all(y in tied for y in tokens if (tokens[x] == tokens[y]).mean() >= 0.6)
 
 
+def test_splits_join_tokens_once(spark, monkeypatch):
+    """Sets that go through many splits take their tokens along."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1000, 64)
+    rows = [(i.to_bytes(4, "big"), np.where(rng.random(64) < 0.2, rng.integers(0, 1000, 64), base).tolist()) for i in range(400)]
+    reps = materialise(spark.createDataFrame(rows, "set binary, tokens array<int>"), "own-tokens")
+    read = []
+
+    def watched(df, label):
+        read.append(any("own-tokens" in f for f in df.inputFiles()))
+        return materialise(df, label)
+
+    monkeypatch.setattr(shingle_links, "materialise", watched)
+    buckets, deep, _ = shingle_links.paths(reps, 0.8, range(1, 4), 16, 64)
+    assert deep is not None and buckets.count() and sum(read) <= 2, read
+
+
 def test_near_pairs_among_texts_of_one_template(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
