@@ -162,7 +162,7 @@ def paths(reps: DataFrame, similarity: float, runs: range, small: int, places: i
     level = split(reps.withColumn("run", F.explode(F.sequence(F.lit(runs[0]), F.lit(runs[-1])))), F.col("run"), 0)
     done, edges, deep = [], [], None
     for depth in range(1, LEVELS + 1):
-        level = sized(level)
+        level = sized(materialise(level, "paths"))  # stored, so that rows are not split twice
         if depth == LEVELS:  # what is alike at so many places is one group; it is compared in blocks
             done.append(level)
             break

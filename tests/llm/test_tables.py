@@ -450,6 +450,18 @@ def test_splits_join_tokens_once(spark, monkeypatch):
     assert deep is not None and buckets.count() and sum(read) <= 2, read
 
 
+def test_components_end_with_the_stars(spark, monkeypatch):
+    """No round is run after the one that makes stars of all edges."""
+    stored = []
+    monkeypatch.setattr(links, "materialise", lambda df, label: stored.append(label) or materialise(df, label))
+    edges = spark.createDataFrame([(0, i) for i in range(1, 50)] + [(100, 101)], "a long, b long")
+    got = {r["node"]: r["root"] for r in links.components(edges).collect()}
+    assert got == {**dict.fromkeys(range(50), 0), 100: 100, 101: 100} and len(stored) == 3
+    chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1002), (1001, 1002)], "a long, b long")
+    got = {r["node"]: r["root"] for r in links.components(chain).collect()}
+    assert got == {**dict.fromkeys(range(301), 0), **dict.fromkeys(range(1000, 1003), 1000)}
+
+
 def test_near_pairs_among_texts_of_one_template(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
