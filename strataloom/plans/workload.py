@@ -38,6 +38,8 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        # Counting the rows of a state looks each key up once more; nothing here asks for it.
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", "false")
 
     def __getattr__(self, name: str) -> DataFrame:
         self.__dict__[name] = table = lake.read_table(self.spark, self.root, name)
