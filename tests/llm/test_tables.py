@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from strataloom.llm import leaks, links, repeats, shingle_links, sharding, texts, url_lists, vector_links, workload
-from strataloom.session import materialise
+from strataloom.session import materialise, own_session
 from tests.compare import SF_DIR, duck, duck_rows, explain_difference, spark_rows
 from tests.llm.rows import LONG, SCHEMA, empty, odd_documents, with_clashes
 
@@ -197,6 +197,22 @@ def test_repeats_query(spark):
         assert tuple(got[doc["doc_id"]]) == (doc["doc_id"], len(raw), int(gone.sum()), n_spans, hashlib.sha256(rest).hexdigest())
 
 
+def test_copies_of_a_text_stay_in_their_tasks(spark, tmp_path):
+    n, copied = 40_000, "a copied text " * 40
+    other = F.repeat(F.md5((F.col("id") / 8).cast("long").cast("string")), 14)
+    text = F.when(F.col("id") % 2 == 0, F.lit(copied)).when(F.col("id") % 4 == 1, F.lit("")).otherwise(other)
+    spark.range(0, n, 1, 8).select(F.col("id").alias("doc_id"), text.alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    own = own_session(spark)
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = workload.REGISTRY["op4_repeats"](own, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    nothing = hashlib.sha256(b"").hexdigest()
+    want = {0: (len(copied), len(copied), 1, nothing), 1: (0, 0, 0, nothing), 2: (len(copied), len(copied), 1, nothing), 3: (448, 448, 1, nothing)}
+    assert sorted(r["doc_id"] for r in rows) == list(range(n)) and all(tuple(r)[1:5] == want[r["doc_id"] % 4] for r in rows)
+    for kind, size in (({0, 2}, n // 2), ({1}, n // 4)):
+        copies = Counter(r["task"] for r in rows if r["doc_id"] % 4 in kind)
+        assert max(copies.values()) < size // 2
+
+
 def test_repeats_of_odd_rows(spark):
     docs = with_clashes(odd_documents(spark))
     known, found = repeats.spans(docs)
